@@ -35,6 +35,9 @@ class Threshold:
         """``total`` is the sum of both set sizes."""
         return self._at_least(inter * (self.num + self.den), total * self.num)
 
+    def similarity_suffices(self, inter: Column, union: Column) -> Column:
+        return self._at_least(inter * self.den, union * self.num)
+
     def lengths_suffice(self, shorter: Column, longer: Column) -> Column:
         return self._at_least(shorter * self.den, longer * self.num)
 

@@ -12,28 +12,62 @@ from wordweave.shared import save
 # A word with more postings than this is split into blocks that meet block by block.
 BLOCK_POSTINGS = 4096
 
+# Columns of a set's signature, 64 bits each.
+SIGNATURE = ("bits0", "bits1")
+
+# Copies of one set from which on its lines are not left to a plain shuffle.
+HOT_COPIES = 100_000
+
+# A broadcast of sets holds at most this many sets of at most this many words: 8 MB.
+MAX_BROADCAST_SETS = 1000
+MAX_BROADCAST_SET = 1024
+
 # A set with more copies than this is split into blocks when its pairs are listed.
-BLOCK_MEMBERS = 1024
+BLOCK_MEMBERS = 256
+
+
+def _parity_bits(part: int) -> Column:
+    """One part of the signature: each bit is the parity of the words of ``ids`` that hash to it.
+
+    Every word hashes to one bit of one part.
+    """
+    flip = f"if(pmod(xxhash64(word), {len(SIGNATURE)}) = {part}, shiftleft(1L, int(hash(word) & 63)), 0L)"
+    return F.expr(f"aggregate(ids, 0L, (bits, word) -> bits ^ {flip})")
 
 
 def distinct_sets(id_sets: DataFrame) -> DataFrame:
-    """``(set_id, ids, len, n_lines)``: equal line sets collapsed to one row.
+    """``(set_id, ids, len, n_lines, bits0, bits1)``: equal line sets collapsed to one row.
 
     ``set_id`` is the smallest line key of the copies.  Any number of copies is
-    folded on the map side, so a hot text costs one row per task.
+    folded on the map side, so a hot text costs one row per task.  The bits are a
+    signature: two sets differ in at least as many words as their signatures in bits.
     """
     collapsed = id_sets.groupBy("ids").agg(F.min("key").alias("set_id"), F.count("*").alias("n_lines"))
-    return collapsed.select("set_id", "ids", F.size("ids").cast("bigint").alias("len"), "n_lines")
+    signature = [_parity_bits(part).alias(bits) for part, bits in enumerate(SIGNATURE)]
+    return collapsed.select("set_id", "ids", F.size("ids").cast("bigint").alias("len"), "n_lines", *signature)
 
 
-def set_members(id_sets: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(set_id, n_lines, key)`` for the lines of sets that occur more than once."""
+def set_members(id_sets: DataFrame, sets: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:
+    """``(set_id, n_lines, key)`` for the lines of sets that occur more than once.
+
+    Where a set has more than ``hot_copies`` copies, the sets with the most copies,
+    bounded in number and length, find their lines by broadcast, so that the copies do
+    not meet in one task; the rest is shuffled.
+    """
     repeated = sets.where(F.col("n_lines") > 1).select("ids", "set_id", "n_lines")
-    return id_sets.join(repeated, "ids").select("set_id", "n_lines", "key")
+    hot = repeated.where((F.col("n_lines") > hot_copies) & (F.size("ids") <= MAX_BROADCAST_SET))
+    if hot.isEmpty():
+        return id_sets.join(repeated, "ids").select("set_id", "n_lines", "key")
+    hot = hot.orderBy(F.desc("n_lines"), "set_id").limit(MAX_BROADCAST_SETS)
+    of_hot = id_sets.join(F.broadcast(hot), "ids")
+    rest = repeated.join(F.broadcast(hot.select("set_id")), "set_id", "left_anti")
+    of_rest = id_sets.join(F.broadcast(hot.select("ids")), "ids", "left_anti").join(rest, "ids")
+    return of_hot.unionByName(of_rest).select("set_id", "n_lines", "key")
 
 
 def _postings(sets: DataFrame, prefix: Column) -> DataFrame:
-    return sets.select("set_id", "len", F.posexplode(F.slice("ids", F.lit(1), prefix)).alias("pos", "word_id"))
+    words = F.posexplode(F.slice("ids", F.lit(1), prefix)).alias("pos", "word_id")
+    return sets.select("set_id", "len", *SIGNATURE, words)
 
 
 def _block(key: str, n_blocks: str) -> Column:
@@ -70,8 +104,8 @@ def candidate_pairs(
     """Distinct ``(short_id, long_id)`` that may be similar; none that is similar is missing.
 
     The shorter set of a pair (by length, then id) looks up its index prefix, the
-    longer one its probe prefix.  Lengths and the words left behind the shared word
-    must still allow the threshold.  ``max_postings`` is a known limit on the postings
+    longer one its probe prefix.  Lengths, the words left behind the shared word and
+    the signatures must still allow the threshold.  ``max_postings`` is a known limit on the postings
     of one word, if there is one; at or below ``block`` no word needs splitting.
     """
     index = _postings(sets, threshold.index_prefix("len"))
@@ -82,21 +116,27 @@ def candidate_pairs(
         if not hot.isEmpty():
             index, probe = _meet_in_blocks(index, probe, hot)
             on += ["i_block", "p_block"]
-    s, l = index.alias("s"), probe.alias("l")
-    short_len, long_len = F.col("s.len"), F.col("l.len")
-    left_over = F.least(short_len - 1 - F.col("s.pos"), long_len - 1 - F.col("l.pos"))
-    pairs = s.join(
-        l,
-        [F.col(f"s.{c}") == F.col(f"l.{c}") for c in on]
-        + [
-            (short_len < long_len) | ((short_len == long_len) & (F.col("s.set_id") < F.col("l.set_id"))),
-            threshold.lengths_suffice(short_len, long_len),
-            threshold.overlap_suffices(left_over + 1, short_len + long_len),
-        ],
-    )
+    # Both sides are exploded, so the size of the stored table says nothing about a broadcast.
+    pairs = index.alias("s").join(probe.alias("l").hint("merge"), _may_be_similar(on, threshold))
     return pairs.select(F.col("s.set_id").alias("short_id"), F.col("l.set_id").alias("long_id")).distinct()
 
 
+def _may_be_similar(on: list[str], threshold: Threshold) -> list[Column]:
+    """Join condition between index postings ``s`` and probe postings ``l``."""
+    s_len, l_len = F.col("s.len"), F.col("l.len")
+    total = s_len + l_len
+    left_over = F.least(s_len - F.col("s.pos"), l_len - F.col("l.pos"))
+    differing = sum(F.bit_count(F.col(f"s.{bits}").bitwiseXOR(F.col(f"l.{bits}"))) for bits in SIGNATURE)
+    return [
+        *[F.col(f"s.{c}") == F.col(f"l.{c}") for c in on],
+        (s_len < l_len) | ((s_len == l_len) & (F.col("s.set_id") < F.col("l.set_id"))),
+        threshold.lengths_suffice(s_len, l_len),
+        threshold.overlap_suffices(left_over, total),
+        # Twice the overlap is the total length less the words that differ.
+        threshold.overlap_suffices(total - differing, total * 2),
+    ]
+
+
 def score_pairs(pairs: DataFrame, sets: DataFrame, left: str, right: str) -> DataFrame:
     """Score a table of pairs against a ``(set_id, ids)`` table: adds ``inter`` and ``uni``.
 
@@ -106,7 +146,8 @@ def score_pairs(pairs: DataFrame, sets: DataFrame, left: str, right: str) -> Dat
     paired = pairs.join(lookup.withColumnsRenamed({"set_id": left, "ids": "left_ids"}), left).join(
         lookup.withColumnsRenamed({"set_id": right, "ids": "right_ids"}), right
     )
-    inter = shared_words(F.col("left_ids"), F.col("right_ids"))
+    # Explode of a one-entry array: the intersection is taken once, however often it is used.
+    inter = F.explode(F.array(shared_words(F.col("left_ids"), F.col("right_ids"))))
     return (
         paired.withColumn("inter", inter)
         .withColumn("uni", F.size("left_ids") + F.size("right_ids") - F.col("inter"))
@@ -120,7 +161,7 @@ def similar_sets(
     """``(set_lo, set_hi, inter, uni, similarity)`` for all similar pairs of different sets."""
     candidates = candidate_pairs(sets, threshold, max_postings, block)
     scored = score_pairs(candidates, sets, "short_id", "long_id")
-    similar = scored.where(threshold.overlap_suffices(F.col("inter"), F.col("inter") + F.col("uni")))
+    similar = scored.where(threshold.similarity_suffices(F.col("inter"), F.col("uni")))
     return similar.select(
         F.least("short_id", "long_id").alias("set_lo"),
         F.greatest("short_id", "long_id").alias("set_hi"),
@@ -137,15 +178,16 @@ def similar_groups(similar: DataFrame, sets: DataFrame, threshold: Threshold) ->
     ``n * (n - 1) / 2`` pairs among ``n`` equal lines.  Its size does not grow with
     the square of the copies.
     """
-    sizes = sets.select("set_id", "n_lines")
-    across = similar.join(sizes.withColumnsRenamed({"set_id": "set_lo", "n_lines": "n_lo"}), "set_lo").join(
-        sizes.withColumnsRenamed({"set_id": "set_hi", "n_lines": "n_hi"}), "set_hi"
-    )
+    repeated = sets.select("set_id", "n_lines").where(F.col("n_lines") > 1)
+    across = similar.select("set_lo", "set_hi", "similarity")
+    for side in ("lo", "hi"):
+        sizes = repeated.withColumnsRenamed({"set_id": f"set_{side}", "n_lines": f"n_{side}"})
+        across = across.join(sizes, f"set_{side}", "left").fillna(1, [f"n_{side}"])
     columns = ["set_lo", "set_hi", "similarity", "n_lo", "n_hi"]
     if not threshold.admits_equal_sets:
         return across.select(columns)
     n = F.col("n_lines")
-    within = sets.where(n > 1).select(
+    within = repeated.select(
         F.col("set_id").alias("set_lo"),
         F.col("set_id").alias("set_hi"),
         F.lit(1.0).alias("similarity"),

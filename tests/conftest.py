@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from wordweave.shared import drop_saved_tables  # noqa: E402
+
 TESTDATA = Path("/root/testdata")
 
 
@@ -23,6 +25,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_saved_tables(session)
     session.stop()
 
 

@@ -1,15 +1,20 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from wordweave import shared
 from wordweave.functions.threshold import Threshold
 from wordweave.operators import line_sets as ls
 from wordweave.operators import similarity as sim
-from wordweave.operators.inverted_index import rendered_index
+from wordweave.operators.inverted_index import inverted_index, rendered_index
+from wordweave.operators.tokens import tokens
 from wordweave.plans import index_jobs
 from wordweave.plans import similarity_jobs as jobs
 from wordweave.sinks import write_delimited, write_metrics, write_pairs, write_report
 from wordweave.sinks import text as text_sink
-from wordweave.sources import cleaned_lines, text_documents, text_lines_by_file, word_counts
+from wordweave.sources import cleaned_lines, stop_word_list, text_documents, text_lines_by_file, word_counts
 
 
 def written(path):
@@ -70,6 +75,16 @@ def test_pairs(documents, tmp_path):
     pairs = jobs.similar_lines_with_texts(documents("a b c d\na b c d e"), Threshold(4, 5))
     write_pairs(pairs, str(tmp_path / "p"))
     assert written(tmp_path / "p") == ['1000000\t1000001 : 0.8\t"a b c d" - "e a b c d"']
+    write_pairs(pairs, str(tmp_path / "p"), in_parentheses=True)
+    assert written(tmp_path / "p") == ['(1000000, 1000001) : 0.8\t"a b c d" - "e a b c d"']
+
+
+def test_stop_word_lists_with_and_without_counts(spark, documents, tmp_path):
+    (tmp_path / "stop.csv").write_text("the, 4001\nof,17\nand\n")
+    listed = stop_word_list(spark, str(tmp_path / "stop.csv"))
+    assert sorted(map(tuple, listed.collect())) == [("and", 0), ("of", 17), ("the", 4001)]
+    kept = inverted_index(tokens(documents("the cat and the dog of"), "delim"), listed)
+    assert sorted(r.tok for r in kept.collect()) == ["cat", "dog"]
 
 
 @pytest.fixture
@@ -107,6 +122,20 @@ def test_saved_tables_go_to_the_shared_folder(spark):
     assert all(root in name for name in saved.inputFiles())
 
 
+def test_saved_tables_can_be_dropped(tmp_path):
+    script = f"""
+from pathlib import Path
+from pyspark.sql import SparkSession
+from wordweave import shared
+spark = SparkSession.builder.master("local[1]").config("spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+shared.save(spark.range(3), "numbers")
+assert list(Path("{tmp_path}").rglob("*.parquet"))
+shared.drop_saved_tables(spark)
+assert not list(Path("{tmp_path}").rglob("*.parquet"))
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=Path(__file__).parent.parent, timeout=120)
+
+
 def test_small_scans_are_spread(spark):
     one = spark.range(100).coalesce(1)
     assert shared.spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

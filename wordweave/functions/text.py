@@ -10,8 +10,6 @@ DELIMITERS = " .,?!\"'()[]$*-_;:|"
 # Characters a token is stripped of at both ends.
 BLANKS = "".join(chr(code) for code in range(0x21))
 
-LINE_BREAK = r"\r\n|\n|\r"
-
 _DELIM_CLASS = r" .,?!\"'()\[\]$*\-_;:|\r\n"
 # One run of delimiters together with the blanks around it, so tokens come out stripped.
 _DELIM_RUN = rf"[\x00-\x09\x0b\x0c\x0e-\x1f]*[{_DELIM_CLASS}][\x00-\x20{_DELIM_CLASS}]*"
@@ -34,10 +32,12 @@ def words(text: Column | str, mode: str) -> Column:
     raise ValueError(f"unknown tokenizer {mode!r}, expected one of {TOKENIZERS}")
 
 
-def text_lines(text: Column | str) -> Column:
+def text_lines(text: str) -> Column:
     """Lines of a text as an array; a line end that closes the text opens no new line."""
-    closed = F.regexp_replace(text, rf"({LINE_BREAK})\z", "")
-    return F.when(F.length(text) > 0, F.split(closed, LINE_BREAK, -1))
+    raw = F.col(text)
+    unified = F.when(F.contains(raw, F.lit("\r")), F.regexp_replace(raw, r"\r\n?", "\n")).otherwise(raw)
+    closed = F.when(F.endswith(unified, F.lit("\n")), F.substr(unified, F.lit(1), F.length(unified) - 1))
+    return F.when(F.length(raw) > 0, F.split(F.coalesce(closed, unified), "\n", -1))
 
 
 def line_key(doc_id: Column, line_no: Column, lines_per_document: int = 1_000_000) -> Column:

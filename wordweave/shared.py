@@ -33,6 +33,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder.name
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/wordweave/{spark.sparkContext.applicationId}"
+
+
 def save(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as a scan.
 
@@ -41,19 +45,24 @@ def save(df: DataFrame, label: str) -> DataFrame:
     chooses between a broadcast and a shuffled join.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/wordweave/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_saved_tables(spark: SparkSession) -> None:
+    """Remove the tables this application saved; results that scan them end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core after a scan that has fewer splits than the cluster has cores.
+    """Use every core after a scan whose splits leave half of them idle.
 
     A corpus of many files already fills the cluster and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() * 2 > cores:
         return df
     return df.repartition(cores, key)
 

@@ -36,14 +36,17 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     write_report(metrics, path, ": ")
 
 
-def render_pairs(pairs: DataFrame) -> DataFrame:
-    """``(lo, hi, similarity, text_lo, text_hi)`` as one line of text."""
+def render_pairs(pairs: DataFrame, in_parentheses: bool = False) -> DataFrame:
+    """``(lo, hi, similarity, text_lo, text_hi)`` as one line of text.
+
+    The keys are joined by a tab, or written as ``(lo, hi)``.
+    """
+    keys = F.format_string("(%s, %s)" if in_parentheses else "%s\t%s", F.col("lo").cast("string"), F.col("hi").cast("string"))
+    score = F.col("similarity").cast("float").cast("string")
     texts = F.format_string('"%s" - "%s"', "text_lo", "text_hi")
-    keys = F.concat_ws("\t", F.col("lo").cast("string"), F.col("hi").cast("string"))
-    score = F.concat(F.lit(INDEX_SEPARATOR), F.col("similarity").cast("float").cast("string"))
-    return pairs.select(F.concat(keys, score, F.lit("\t"), texts).alias("value"))
+    return pairs.select(F.concat(keys, F.lit(INDEX_SEPARATOR), score, F.lit("\t"), texts).alias("value"))
 
 
-def write_pairs(pairs: DataFrame, path: str) -> None:
+def write_pairs(pairs: DataFrame, path: str, in_parentheses: bool = False) -> None:
     """Write similar pairs with their score and both texts."""
-    render_pairs(pairs).write.mode("overwrite").text(path)
+    render_pairs(pairs, in_parentheses).write.mode("overwrite").text(path)

@@ -1,6 +1,13 @@
 """Readers."""
 
 from wordweave.sources.corpus import documents_table, text_documents, text_lines_by_file
-from wordweave.sources.delimited import cleaned_lines, word_counts
+from wordweave.sources.delimited import cleaned_lines, stop_word_list, word_counts
 
-__all__ = ["documents_table", "text_documents", "text_lines_by_file", "cleaned_lines", "word_counts"]
+__all__ = [
+    "cleaned_lines",
+    "documents_table",
+    "stop_word_list",
+    "text_documents",
+    "text_lines_by_file",
+    "word_counts",
+]

@@ -7,10 +7,20 @@ from pyspark.sql import functions as F
 
 
 def word_counts(spark: SparkSession, path: str) -> DataFrame:
-    """``word, count`` rows: a word-count table or a stop-word list."""
+    """``word, count`` rows as ``(tok, n)``; a row of another shape raises."""
     return spark.read.csv(path, schema="tok string, n bigint", sep=", ", quote="", mode="FAILFAST")
 
 
+def stop_word_list(spark: SparkSession, path: str) -> DataFrame:
+    """``word, count`` or plain ``word`` rows as ``(tok, n)``; without a count ``n`` is 0."""
+    rows = spark.read.text(path)
+    count = F.trim(F.split_part("value", F.lit(","), F.lit(2)))
+    return rows.select(
+        F.split_part("value", F.lit(","), F.lit(1)).alias("tok"),
+        F.coalesce(F.nullif(count, F.lit("")).cast("bigint"), F.lit(0)).alias("n"),
+    )
+
+
 def cleaned_lines(spark: SparkSession, path: str) -> DataFrame:
     """``key,word word word`` rows as ``(key, toks)``."""
     rows = spark.read.csv(path, schema="key bigint, words string", sep=",", quote="", mode="FAILFAST")

@@ -32,7 +32,7 @@ def inverted_index(tokens: DataFrame, stop_list: DataFrame) -> DataFrame:
 
 
 def _postings(index: DataFrame, *fields: str) -> DataFrame:
-    return index.groupBy("tok").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("list"))
+    return index.groupBy("tok").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("list"))
 
 
 def nested_index(index: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def rare_line_words(line_words: DataFrame, vocab: DataFrame, max_count: int) ->
 
 def line_sets(rare_words: DataFrame) -> DataFrame:
     """``(key, toks)`` with the words of each line, rarest first; empty lines are gone."""
-    ordered = F.array_sort(F.collect_list(F.struct("word_id", "tok")))
+    ordered = F.sort_array(F.collect_list(F.struct("word_id", "tok")))
     return rare_words.groupBy("key").agg(F.transform(ordered, lambda w: w["tok"]).alias("toks"))
 
 

@@ -200,7 +200,7 @@ def similar_groups(similar: DataFrame, sets: DataFrame, threshold: Threshold) ->
 def set_texts(sets: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(set_id, text)``: the words of each set, rarest first, joined by spaces."""
     spelled = sets.select("set_id", F.explode("ids").alias("word_id")).join(vocab.select("word_id", "tok"), "word_id")
-    ordered = F.array_sort(F.collect_list(F.struct("word_id", "tok")))
+    ordered = F.sort_array(F.collect_list(F.struct("word_id", "tok")))
     return spelled.groupBy("set_id").agg(F.array_join(F.transform(ordered, lambda w: w["tok"]), " ").alias("text"))
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A broadcast word list holds at most this many words of at most this many
-# characters: 20,000 x 128 x 4 bytes is about 10 MB, Spark's own default limit.
-MAX_BROADCAST_WORDS = 20_000
-MAX_BROADCAST_CHARS = 128
+# characters: 100,000 x 64 x 4 bytes is 26 MB at the very most, a few MB in practice.
+MAX_BROADCAST_WORDS = 100_000
+MAX_BROADCAST_CHARS = 64
 
 _local_folder: tempfile.TemporaryDirectory | None = None
 

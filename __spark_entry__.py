@@ -135,12 +135,14 @@ def adjacent_line_scores(spark, sf_dir):
 
 
 def naive_comparisons(spark, sf_dir):
-    return ls.naive_comparisons(similarity_jobs.rare_lines(_documents(spark, sf_dir), MAX_COUNT).words)
+    comparisons = ls.naive_comparisons(similarity_jobs.rare_lines(_documents(spark, sf_dir), MAX_COUNT).words)
+    # The square of a large number of lines is beyond a bigint.
+    return comparisons.withColumn("value", F.col("value").cast("string"))
 
 
 def prefix_comparisons(spark, sf_dir):
     collapsed = similarity_jobs.collapsed_line_sets(_documents(spark, sf_dir), MAX_COUNT)
-    return sim.prefix_comparisons(collapsed.sets, HALF)
+    return sim.prefix_comparisons(collapsed.sets, HALF).withColumn("value", F.col("value").cast("bigint"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -320,7 +322,7 @@ SELECT a.k AS lo, b.k AS hi, CAST(coalesce(s.inter, 0) AS INTEGER) AS inter,
        CAST(a.size + b.size - coalesce(s.inter, 0) AS INTEGER) AS uni
 FROM line_texts a JOIN line_texts b ON b.k = a.k + 1 LEFT JOIN shared s ON s.lo = a.k AND s.hi = b.k""",
         "naive_comparisons": f"""WITH {_LINE_WORDS}
-SELECT 'comparisons' AS metric, count(*) * (count(*) - 1) // 2 AS value FROM line_texts""",
+SELECT 'comparisons' AS metric, CAST(count(*) * (count(*) - 1) // 2 AS VARCHAR) AS value FROM line_texts""",
         "prefix_comparisons": f"""WITH {_LINE_WORDS},
 ranked AS (
   SELECT tok, row_number() OVER (PARTITION BY k ORDER BY n, tok) AS place, count(*) OVER (PARTITION BY k) AS size

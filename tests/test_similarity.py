@@ -5,7 +5,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from wordweave.functions.threshold import Threshold
+from wordweave.functions.threshold import Threshold, unordered_pairs
 from wordweave.operators import similarity as sim
 from wordweave.operators.terms import metric
 from wordweave.plans import similarity_jobs as jobs
@@ -66,6 +66,12 @@ def test_equals_brute_force(spark, threshold):
     assert found_pairs(spark, sets, threshold) == brute_force(sets, threshold)
 
 
+def test_fine_thresholds_do_not_overflow(spark):
+    sets = random_sets(8, n_sets=60)
+    for threshold in (Threshold(799_999_999, 1_000_000_000), Threshold(800_000_000, 1_000_000_000, False)):
+        assert found_pairs(spark, sets, threshold) == brute_force(sets, threshold)
+
+
 @pytest.mark.parametrize("seed", [2, 3, 4])
 def test_hot_words_and_hot_texts_in_small_blocks(spark, seed):
     sets = random_sets(seed)
@@ -94,12 +100,12 @@ def test_long_sets(spark):
         ("a b", "c d", {"4/5": (False, False), "1/2": (False, False)}),
     ],
 )
-def test_comparators(documents, a, b, passes):
+def test_comparators(spark, a, b, passes):
+    sets = {1: frozenset(map(ord, a.split())), 2: frozenset(map(ord, b.split()))}
     for limit, (inclusive, strict) in passes.items():
         num, den = (int(x) for x in limit.split("/"))
-        docs = documents(a, b)
-        assert (jobs.similar_lines(docs, Threshold(num, den, True)).count() == 1) == inclusive
-        assert (jobs.similar_lines(docs, Threshold(num, den, False)).count() == 1) == strict
+        assert len(found_pairs(spark, sets, Threshold(num, den, True))) == inclusive
+        assert len(found_pairs(spark, sets, Threshold(num, den, False))) == strict
 
 
 def test_pairs_with_texts(documents):
@@ -160,6 +166,11 @@ def test_prefix_comparisons_count_copies(spark):
     assert sim.prefix_comparisons(distinct, Threshold(1, 2)).first().value == 6
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5000, 10**12, 10**12 + 1])
+def test_number_of_pairs(spark, n):
+    assert spark.range(1).select(unordered_pairs(f"{n}L")).first()[0] == n * (n - 1) // 2
+
+
 def test_threshold_range():
     for num, den in ((0, 2), (3, 2), (-1, 2)):
         with pytest.raises(ValueError):

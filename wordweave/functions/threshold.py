@@ -24,7 +24,10 @@ class Threshold:
         if not 0 < self.num <= self.den:
             raise ValueError("the threshold must be above 0 and at most 1")
 
-    def _at_least(self, left: Column, right: Column) -> Column:
+    def _at_least(self, left: Column, left_factor: int, right: Column, right_factor: int) -> Column:
+        left, right = (
+            side.cast("bigint") * F.lit(factor) for side, factor in ((left, left_factor), (right, right_factor))
+        )
         return left >= right if self.inclusive else left > right
 
     @property
@@ -33,21 +36,23 @@ class Threshold:
 
     def overlap_suffices(self, inter: Column, total: Column) -> Column:
         """``total`` is the sum of both set sizes."""
-        return self._at_least(inter * (self.num + self.den), total * self.num)
+        return self._at_least(inter, self.num + self.den, total, self.num)
 
     def similarity_suffices(self, inter: Column, union: Column) -> Column:
-        return self._at_least(inter * self.den, union * self.num)
+        return self._at_least(inter, self.den, union, self.num)
 
     def lengths_suffice(self, shorter: Column, longer: Column) -> Column:
-        return self._at_least(shorter * self.den, longer * self.num)
+        return self._at_least(shorter, self.den, longer, self.num)
 
     def prefix_length(self, size: str) -> Column:
         """``n - ceil(n * t) + 1`` in integers."""
-        return F.expr(f"{size} - ({size} * {self.num} + {self.den - 1}) div {self.den} + 1")
+        return F.expr(f"{size} - (bigint({size}) * {self.num} + {self.den - 1}) div {self.den} + 1")
 
     def _least_overlap_prefix(self, size: str, num: int, den: int) -> Column:
         needed = (
-            f"({size} * {num} + {den - 1}) div {den}" if self.inclusive else f"({size} * {num}) div {den} + 1"
+            f"(bigint({size}) * {num} + {den - 1}) div {den}"
+            if self.inclusive
+            else f"(bigint({size}) * {num}) div {den} + 1"
         )
         return F.expr(f"greatest({size} - ({needed}) + 1, 0)")
 
@@ -67,3 +72,8 @@ def shared_words(left: Column, right: Column) -> Column:
 
 def jaccard(inter: Column, union: Column) -> Column:
     return inter.cast("double") / union.cast("double")
+
+
+def unordered_pairs(n: str) -> Column:
+    """``n * (n - 1) / 2`` as a decimal, which holds the pairs of any number of lines."""
+    return F.expr(f"cast({n} div 2 as decimal(19,0)) * cast({n} - 1 + {n} % 2 as decimal(19,0))")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordweave.functions.threshold import Threshold
+from wordweave.functions.threshold import Threshold, unordered_pairs
 from wordweave.operators.terms import metric
 from wordweave.operators.tokens import without_hottest
 from wordweave.shared import save
@@ -66,4 +66,5 @@ def prefix_postings(sets: DataFrame, threshold: Threshold) -> DataFrame:
 
 def naive_comparisons(rare_words: DataFrame) -> DataFrame:
     """Number of pairs an all-pairs comparison of the lines would score."""
-    return metric("comparisons", rare_words.select("key").distinct(), F.expr("count(*) * (count(*) - 1) div 2"))
+    lines = rare_words.select("key").distinct()
+    return metric("comparisons", lines, unordered_pairs("count(*)"), "decimal(38,0)")

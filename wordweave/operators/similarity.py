@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordweave.functions.threshold import Threshold, jaccard, shared_words
+from wordweave.functions.threshold import Threshold, jaccard, shared_words, unordered_pairs
 from wordweave.operators.terms import metric
 from wordweave.shared import save
 
@@ -253,4 +253,4 @@ def prefix_comparisons(sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Number of pairs that share a prefix word, counted once per shared word, as a metric row."""
     prefix = F.slice("ids", F.lit(1), threshold.prefix_length("len"))
     sizes = sets.select(F.explode(prefix).alias("word_id"), "n_lines").groupBy("word_id").agg(F.sum("n_lines").alias("c"))
-    return metric("comparisons", sizes, F.sum(F.expr("c * (c - 1) div 2")))
+    return metric("comparisons", sizes, F.sum(unordered_pairs("c")), "decimal(38,0)")

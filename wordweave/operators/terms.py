@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,8 +37,8 @@ def single_document_terms(statistics: DataFrame) -> DataFrame:
     return metric("single_document_terms", statistics, F.count_if("one_document"))
 
 
-def metric(name: str, rows: DataFrame, value) -> DataFrame:
+def metric(name: str, rows: DataFrame, value: Column, kind: str = "bigint") -> DataFrame:
     """One-row ``(metric, value)`` aggregate of ``rows``."""
-    return rows.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value")).select(
+    return rows.agg(F.coalesce(value, F.lit(0)).cast(kind).alias("value")).select(
         F.lit(name).alias("metric"), "value"
     )

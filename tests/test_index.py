@@ -73,3 +73,15 @@ def test_frequencies_add_up_to_the_tokens_kept(documents):
     kept = index_jobs.tokens_per_document(docs, 4)
     assert index.agg(F.sum("tf")).first()[0] == kept.agg(F.sum("n_tokens")).first()[0] == 7
     assert as_dict(kept) == {1: 2, 2: 2, 3: 3}
+
+
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in line]
+
+
+def test_documents_partitioned_by_id_are_not_shuffled_again(documents):
+    docs = documents("a b c a a", "a b d")
+    frequencies = idx.term_frequencies(tokens(docs.repartition(4, "doc_id"), "delim"))
+    assert len(exchanges(frequencies)) == 1
+    assert "hashpartitioning(doc_id" in exchanges(frequencies)[0]
+    assert len(exchanges(idx.term_frequencies(tokens(docs, "delim")))) == 1

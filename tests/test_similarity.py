@@ -80,6 +80,13 @@ def test_hot_words_and_hot_texts_in_small_blocks(spark, seed):
         assert found == brute_force(sets, threshold)
 
 
+def test_words_beyond_the_split_limit_are_joined_whole(spark, monkeypatch):
+    monkeypatch.setattr(sim, "MAX_HOT_WORDS", 2)
+    sets = random_sets(9)
+    threshold = Threshold(1, 2)
+    assert found_pairs(spark, sets, threshold, block=3) == brute_force(sets, threshold)
+
+
 def test_long_sets(spark):
     rng = random.Random(5)
     base = [frozenset(rng.sample(range(5000), 700)) for _ in range(3)]

@@ -12,6 +12,9 @@ from wordweave.shared import save
 # A word with more postings than this is split into blocks that meet block by block.
 BLOCK_POSTINGS = 4096
 
+# Words that are split at most: 200,000 rows of two bigints, 3 MB to broadcast.
+MAX_HOT_WORDS = 200_000
+
 # Columns of a set's signature, 64 bits each.
 SIGNATURE = ("bits0", "bits1")
 
@@ -83,7 +86,7 @@ def _meet_in_blocks(index: DataFrame, probe: DataFrame, hot: DataFrame) -> tuple
     every_block = F.explode(F.sequence(F.lit(0), F.coalesce("n_blocks", F.lit(1)).cast("int") - 1))
     own_block = F.coalesce(_block("set_id", "n_blocks"), F.lit(0))
     index, probe = (
-        side.join(hot, "word_id", "left").withColumn("own", own_block).withColumn("other", every_block)
+        side.join(F.broadcast(hot), "word_id", "left").withColumn("own", own_block).withColumn("other", every_block)
         for side in (index, probe)
     )
     return (
@@ -93,9 +96,16 @@ def _meet_in_blocks(index: DataFrame, probe: DataFrame, hot: DataFrame) -> tuple
 
 
 def hot_prefix_words(probe: DataFrame, block: int = BLOCK_POSTINGS) -> DataFrame:
-    """``(word_id, n_blocks)`` for the words with more than ``block`` postings."""
+    """``(word_id, n_blocks)`` for the words with more than ``block`` postings.
+
+    At most ``MAX_HOT_WORDS``, the hottest first, so that the table can be broadcast; a
+    word beyond them has too small a share of all postings to need splitting.
+    """
     sizes = probe.groupBy("word_id").agg(F.count("*").alias("n_postings"))
-    return sizes.where(F.col("n_postings") > block).select("word_id", _blocks("n_postings", block).alias("n_blocks"))
+    hottest = (
+        sizes.where(F.col("n_postings") > block).orderBy(F.desc("n_postings"), "word_id").limit(MAX_HOT_WORDS)
+    )
+    return hottest.select("word_id", _blocks("n_postings", block).alias("n_blocks"))
 
 
 def candidate_pairs(
@@ -105,8 +115,9 @@ def candidate_pairs(
 
     The shorter set of a pair (by length, then id) looks up its index prefix, the
     longer one its probe prefix.  Lengths, the words left behind the shared word and
-    the signatures must still allow the threshold.  ``max_postings`` is a known limit on the postings
-    of one word, if there is one; at or below ``block`` no word needs splitting.
+    the signatures must still allow the threshold.  ``max_postings`` is a known limit
+    on the postings of one word, if there is one; at or below ``block`` no word needs
+    splitting.
     """
     index = _postings(sets, threshold.index_prefix("len"))
     probe = _postings(sets, threshold.probe_prefix("len"))

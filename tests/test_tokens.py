@@ -1,7 +1,9 @@
+import random
+import re
+
 import pytest
-from pyspark.sql import functions as F
 
-from wordweave.functions.text import words
+from wordweave.functions.text import BLANKS, DELIMITERS, words
 from wordweave.operators.tokens import keyed_lines, line_words, lines, tokens, without_words
 from wordweave import shared
 
@@ -83,3 +85,38 @@ def test_long_words_are_dropped_too(spark, documents):
     listed = spark.createDataFrame([(long_word, 9)], "tok string, n bigint")
     kept = without_words(tokens(documents(f"{long_word} y"), "delim"), listed)
     assert [r.tok for r in kept.collect()] == ["y"]
+
+
+def plain_tokens(text, mode):
+    """Split on every separator, strip each piece, drop the empty ones."""
+    if mode == "alnum":
+        pieces = re.split("[^a-z0-9]", text.lower())
+    else:
+        pieces = re.split("[" + re.escape(DELIMITERS + "\r\n") + "]", text.lower())
+    return [piece.strip(BLANKS) for piece in pieces if piece.strip(BLANKS)]
+
+
+def test_tokenizers_on_random_texts(documents):
+    rng = random.Random(11)
+    alphabet = DELIMITERS + "\r\n\t\x00\x01\x1fabzAZ09éÉßñ#@/\\\u2028\u00a0漢"
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(400)]
+    docs = documents(*texts)
+    for mode in ("delim", "alnum"):
+        found = {}
+        for row in tokens(docs, mode).collect():
+            found.setdefault(row.doc_id, []).append(row.tok)
+        for doc_id, text in enumerate(texts, 1):
+            assert found.get(doc_id, []) == plain_tokens(text, mode), (mode, text)
+
+
+def test_lines_of_random_texts(documents):
+    rng = random.Random(12)
+    texts = ["".join(rng.choices("ab\r\n\u2028", k=rng.randrange(12))) for _ in range(300)]
+    found = {}
+    for row in lines(documents(*texts)).orderBy("doc_id", "line_no").collect():
+        found.setdefault(row.doc_id, []).append(row.line)
+    for doc_id, text in enumerate(texts, 1):
+        expected = re.split("\r\n|\r|\n", text)
+        if expected[-1] == "":
+            expected.pop()
+        assert found.get(doc_id, []) == expected, text

@@ -95,7 +95,7 @@ def first_line_sets(spark, sf_dir):
 
 
 def line_count(spark, sf_dir):
-    return ls.line_count(similarity_jobs.rare_lines(_documents(spark, sf_dir), MAX_COUNT).words)
+    return ls.line_count(similarity_jobs.non_empty_lines(_documents(spark, sf_dir), MAX_COUNT))
 
 
 def prefix_postings(spark, sf_dir):
@@ -135,7 +135,7 @@ def adjacent_line_scores(spark, sf_dir):
 
 
 def naive_comparisons(spark, sf_dir):
-    comparisons = ls.naive_comparisons(similarity_jobs.rare_lines(_documents(spark, sf_dir), MAX_COUNT).words)
+    comparisons = ls.naive_comparisons(similarity_jobs.non_empty_lines(_documents(spark, sf_dir), MAX_COUNT))
     # The square of a large number of lines is beyond a bigint.
     return comparisons.withColumn("value", F.col("value").cast("string"))
 

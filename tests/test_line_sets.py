@@ -16,9 +16,9 @@ def as_dict(df):
 def test_line_sets(documents):
     docs = documents("b a a\nb c\n!!\nc b", first_id=0)
     assert as_dict(jobs.line_sets(docs, 10)) == {0: ["a", "b"], 1: ["c", "b"], 3: ["c", "b"]}
-    rare = jobs.rare_lines(docs, 10)
-    assert [tuple(r) for r in ls.line_count(rare.words).collect()] == [("lines", 3)]
-    assert [tuple(r) for r in ls.naive_comparisons(rare.words).collect()] == [("comparisons", 3)]
+    lines = jobs.non_empty_lines(docs, 10)
+    assert [tuple(r) for r in ls.line_count(lines).collect()] == [("lines", 3)]
+    assert [tuple(r) for r in ls.naive_comparisons(lines).collect()] == [("comparisons", 3)]
     collapsed = jobs.collapsed_line_sets(docs, 10)
     assert sorted((r.set_id, r.n_lines) for r in collapsed.sets.collect()) == [(0, 1), (1, 2)]
     assert sorted((r.set_id, r.key) for r in collapsed.members.collect()) == [(1, 1), (1, 3)]

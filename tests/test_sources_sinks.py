@@ -67,7 +67,7 @@ def test_small_reports_are_one_file(spark, tmp_path, monkeypatch):
 
 
 def test_metrics(documents, tmp_path):
-    write_metrics(ls.line_count(jobs.rare_lines(documents("a\nb"), 10).words), str(tmp_path / "m"))
+    write_metrics(ls.line_count(jobs.non_empty_lines(documents("a\nb"), 10)), str(tmp_path / "m"))
     assert written(tmp_path / "m") == ["lines: 2"]
 
 

@@ -32,6 +32,13 @@ def rare_line_words(line_words: DataFrame, vocab: DataFrame, max_count: int) ->
     return without_hottest(line_words, frequent).join(rare, "tok")
 
 
+def lines_with_rare_words(line_words: DataFrame, counts: DataFrame, max_count: int) -> DataFrame:
+    """``(key)`` of the lines that keep a word; needs word counts but no word order."""
+    frequent = counts.where(F.col("n") >= max_count)
+    rare = counts.where(F.col("n") < max_count)
+    return without_hottest(line_words, frequent).join(rare, "tok", "left_semi").select("key").distinct()
+
+
 def line_sets(rare_words: DataFrame) -> DataFrame:
     """``(key, toks)`` with the words of each line, rarest first; empty lines are gone."""
     ordered = F.sort_array(F.collect_list(F.struct("word_id", "tok")))
@@ -53,9 +60,9 @@ def first_lines(sets: DataFrame, limit: int = 5000) -> DataFrame:
     return sets.orderBy("key").limit(limit)
 
 
-def line_count(rare_words: DataFrame) -> DataFrame:
+def line_count(lines: DataFrame) -> DataFrame:
     """Number of non-empty cleaned lines as a metric row."""
-    return metric("lines", rare_words.select("key").distinct(), F.count("*"))
+    return metric("lines", lines, F.count("*"))
 
 
 def prefix_postings(sets: DataFrame, threshold: Threshold) -> DataFrame:
@@ -64,7 +71,6 @@ def prefix_postings(sets: DataFrame, threshold: Threshold) -> DataFrame:
     return sets.select(F.explode(prefix).alias("tok"), "key")
 
 
-def naive_comparisons(rare_words: DataFrame) -> DataFrame:
+def naive_comparisons(lines: DataFrame) -> DataFrame:
     """Number of pairs an all-pairs comparison of the lines would score."""
-    lines = rare_words.select("key").distinct()
     return metric("comparisons", lines, unordered_pairs("count(*)"), "decimal(38,0)")

@@ -39,6 +39,12 @@ def rare_lines(documents: DataFrame, max_count: int = 4000) -> RareLines:
     return RareLines(words, vocab, max_count)
 
 
+def non_empty_lines(documents: DataFrame, max_count: int = 4000) -> DataFrame:
+    """``(key)`` of the lines that have a line set."""
+    counts = save(word_counts(documents), "word-counts")
+    return ls.lines_with_rare_words(line_words(keyed_lines(documents)), counts, max_count)
+
+
 def line_sets(documents: DataFrame, max_count: int = 4000) -> DataFrame:
     """``(key, toks)``."""
     return ls.line_sets(rare_lines(documents, max_count).words)

@@ -16,6 +16,12 @@ from wordweave.operators.tokens import lines
 from wordweave.plans import index_jobs, similarity_jobs
 from wordweave.sources import documents_table
 
+try:
+    from wordweave.llm import queries as llm
+except ModuleNotFoundError:
+    # The operators for training data are a part that can be left out.
+    llm = None
+
 SMALL = "/root/testdata/sf0.001"
 
 MIN_COUNT = 4000
@@ -170,6 +176,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "adjacent_line_scores": adjacent_line_scores,
         "naive_comparisons": naive_comparisons,
         "prefix_comparisons": prefix_comparisons,
+        **(llm.queries() if llm else {}),
     }
 
 
@@ -330,4 +337,5 @@ ranked AS (
 ),
 sizes AS (SELECT tok, count(*) AS c FROM ranked WHERE place <= size - (size + 1) // 2 + 1 GROUP BY tok)
 SELECT 'comparisons' AS metric, CAST(sum(c * (c - 1) // 2) AS BIGINT) AS value FROM sizes""",
+        **(llm.oracle_sql() if llm else {}),
     }

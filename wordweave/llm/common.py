@@ -68,3 +68,20 @@ def _arrow_schema(fields) -> pa.Schema:
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     arrays = [pa.array(column, type=field.type) for column, field in zip(zip(*rows, strict=True), schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def bernoulli(df: DataFrame, n_rows: int, at_most: int, seed: int) -> DataFrame:
+    """About ``at_most`` of ``n_rows`` rows, picked by a seeded hash of ``doc_id``."""
+    if n_rows <= at_most:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) < (at_most << 30) // n_rows)
+
+
+def labelled_ids(labels: DataFrame, column: str, learn: Column, at_most: int, seed: int = 0) -> DataFrame:
+    """``(doc_id, label)`` of about ``at_most`` labelled documents to learn from.
+
+    Null ids and null labels are left out; of several labels the largest counts.
+    """
+    rows = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & learn)
+    ids = rows.groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
+    return bernoulli(ids, ids.count(), at_most, seed)

@@ -155,33 +155,39 @@ class Mix:
 
 
 def _cut(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per pattern the hash below which all documents are taken: ``(pattern_id, start, left)``.
+    """Per pattern the hash below which all documents are taken: ``(pattern_id, start, end, left)``.
 
     The straddling part of the hash range is refined until few documents are in it.
     """
     rows = sized.join(F.broadcast(plan), "pattern_id").where(F.col("need") > 0)
-    cut = plan.select("pattern_id", F.lit(-(2**63)).alias("start"), F.col("need").alias("left"))
+    cut = plan.select("pattern_id", F.lit(-(2**63)).alias("start"), F.lit(2**63 - 1).alias("end"), F.col("need").alias("left"))
     shift = 64
     while shift > 0:
         shift = max(0, shift - BITS)
         part = F.shiftright("h", shift)
-        inside = rows.drop("need").join(F.broadcast(cut), "pattern_id").where(
+        inside = rows.drop("need").join(F.broadcast(cut.drop("end")), "pattern_id").where(
             (F.col("h") >= F.col("start")) & (part <= F.shiftright("start", shift) + (2**BITS - 1))
         )
         parts = inside.groupBy("pattern_id", part.alias("part")).agg(F.sum("size").alias("size"), F.count("*").alias("n"))
         running = Window.partitionBy("pattern_id").orderBy("part")
-        summed = parts.join(F.broadcast(cut), "pattern_id").withColumn("upto", F.sum("size").over(running))
+        summed = parts.join(F.broadcast(cut), "pattern_id").withColumns(
+            {"upto": F.sum("size").over(running), "all": F.sum("n").over(Window.partitionBy("pattern_id"))}
+        )
         straddling = summed.where((F.col("upto") > F.col("left")) & (F.col("upto") - F.col("size") <= F.col("left")))
         found = straddling.select(
             "pattern_id",
             F.shiftleft("part", shift).alias("start"),
             (F.col("left") - F.col("upto") + F.col("size")).alias("left"),
             "n",
+            "all",
         ).collect()
         if not found:
             return cut
+        # Hashes are uniform: this range holds about twice the documents that are tried.
+        ends = [min(2**63 - 1, r["start"] + (max(1, 2 * FILL * 2**BITS // r["all"]) + 1 << shift)) for r in found]
         cut = sized.sparkSession.createDataFrame(
-            [(r["pattern_id"], r["start"], r["left"]) for r in found], "pattern_id int, start long, left long"
+            [(r["pattern_id"], r["start"], end, r["left"]) for r, end in zip(found, ends, strict=True)],
+            "pattern_id int, start long, end long, left long",
         )
         if max(r["n"] for r in found) <= FILL:
             break
@@ -190,7 +196,7 @@ def _cut(sized: DataFrame, plan: DataFrame) -> DataFrame:
 
 def _filled(sized: DataFrame, cut: DataFrame) -> DataFrame:
     """Hashes at and after the cut that are taken too: in hash order, what still fits."""
-    after = sized.join(F.broadcast(cut), "pattern_id").where(F.col("h") >= F.col("start"))
+    after = sized.join(F.broadcast(cut), "pattern_id").where(F.col("h").between(F.col("start"), F.col("end")))
     units = after.groupBy("pattern_id", "h", "left").agg(F.sum("size").alias("size"))
     nearest = units.withColumn("place", F.row_number().over(Window.partitionBy("pattern_id").orderBy("h"))).where(
         F.col("place") <= FILL

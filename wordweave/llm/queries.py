@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
     "op1_mixing": "mixing",
+    "op2_secrets": "secrets",
+    "op3_minhash": "minhash",
     "op5_sharding": "sharding",
+    "op6_toxicity": "toxicity",
     "op7_exact_dedup": "exact_dedup",
+    "op8_quality": "quality",
+    "op10_decontaminate": "decontaminate",
 }
 
 
@@ -19,6 +24,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from wordweave.llm import exact_dedup
+    from wordweave.llm import exact_dedup, minhash
 
-    return {"op7_exact_dedup": exact_dedup.OP7_SQL}
+    return {"op3_minhash": minhash.OP3_SQL, "op7_exact_dedup": exact_dedup.OP7_SQL}

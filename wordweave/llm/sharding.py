@@ -95,9 +95,11 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = 40, bucket_bytes: i
     shuffle_buckets(scatter(docs, n_shards, bucket_bytes, seed), seed).write.partitionBy("shard_no").parquet(path)
 
 
-def read_shards(spark, path: str) -> DataFrame:
-    """The written rows with ``slot_no``, gapless from 0 in each shard."""
-    rows = spark.read.parquet(path)
+def with_slots(rows: DataFrame) -> DataFrame:
+    """Add ``slot_no``, gapless from 0 in each shard, to rows read from shards.
+
+    Select narrow columns first: the rows may be shuffled to meet their bucket's start.
+    """
     ends = rows.groupBy("shard_no", "bucket_no").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard_no").orderBy("bucket_no").rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.select("shard_no", "bucket_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
@@ -105,11 +107,11 @@ def read_shards(spark, path: str) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 40, bucket_bytes: int = BUCKET_BYTES, seed: int = 0) -> DataFrame:
-    """Write the shards to the shared folder and return them as read back."""
+    """Write the shards to the shared folder and return their rows as read back."""
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
     write_shards(docs, path, n_shards, bucket_bytes, seed)
-    return read_shards(spark, path)
+    return spark.read.parquet(path)
 
 
 def digest_of_shards(rows: DataFrame, n_shards: int = 40, seed: int = 0) -> list[Column]:
@@ -127,9 +129,8 @@ def digest_of_shards(rows: DataFrame, n_shards: int = 40, seed: int = 0) -> list
 
 def sharded_digest(docs: DataFrame, n_shards: int = 40, seed: int = 0) -> DataFrame:
     rows = shard_documents(docs, n_shards, seed=seed)
-    narrow = rows.select(
-        "doc_id", size_of().alias("size"), F.crc32(text_or_empty().cast("binary")).alias("text_crc32"), "shard_no", "slot_no"
-    )
+    crc = F.crc32(text_or_empty().cast("binary")).alias("text_crc32")
+    narrow = with_slots(rows.select("doc_id", size_of().alias("size"), crc, "shard_no", "bucket_no", "place_no"))
     return narrow.select(*digest_of_shards(narrow, n_shards, seed))
 
 

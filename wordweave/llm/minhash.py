@@ -137,7 +137,8 @@ def star_pairs(classes: DataFrame, threshold: int) -> DataFrame:
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """The ``(a, b)`` whose full sets reach ``threshold`` percent; ``texts`` has ``cid, raw``."""
     for side in ("a", "b"):
-        pairs = pairs.join(texts.withColumnsRenamed({"cid": side, "raw": f"raw_{side}"}), side)
+        # Texts are never broadcast, so the plan is the same at every size.
+        pairs = pairs.join(texts.withColumnsRenamed({"cid": side, "raw": f"raw_{side}"}).hint("merge"), side)
 
     def start():
         shingler = Shingler(size)
@@ -171,7 +172,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     # The text of a class is that of any of its documents; its first id finds it.
     holders = save(classes.join(wanted, "cid", "left_semi").select("cid", "class", F.col("first_id").alias("doc_id")), "candidates")
-    texts = docs.select(F.col("doc_id").cast("long"), utf8().alias("raw")).join(holders, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long"), utf8().alias("raw")).join(holders.hint("merge"), "doc_id")
     texts = save(_of_class(texts), "candidate-texts")
     edges = save(confirmed(pairs, texts, size, threshold), "links")
     labels = components(edges, classes.select(F.col("cid").alias("node"), F.col("first_id").alias("label")))

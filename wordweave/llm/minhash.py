@@ -97,7 +97,7 @@ def buckets(hashes: np.ndarray) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, class, n_shingles, buckets)``; ``class`` is null for empty sets."""
+    """``(doc_id, text_hash, class, n_shingles, buckets)``; ``class`` is null for empty sets."""
 
     def start():
         shingler = Shingler(size)
@@ -106,12 +106,12 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
             words = row["raw"].lower().split()
             hashes = shingler.hashes(words)
             same = hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
-            return [(row["doc_id"], same, len(hashes), buckets(hashes))]
+            return [(row["doc_id"], row["text_hash"], same, len(hashes), buckets(hashes))]
 
         return one
 
-    rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("raw"))
-    return map_rows(rows, "doc_id long, class binary, n_shingles long, buckets array<long>", start)
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), utf8().alias("raw"))
+    return map_rows(rows, "doc_id long, text_hash long, class binary, n_shingles long, buckets array<long>", start)
 
 
 def star_pairs(classes: DataFrame, threshold: int) -> DataFrame:
@@ -161,7 +161,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) ->
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
-    """``(doc_id, class, n_shingles, component_id)``, one row per document."""
+    """``(doc_id, text_hash, class, n_shingles, component_id)``, one row per document."""
     rows = save(fingerprints(docs, size), "fingerprints")
     collapsed = rows.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("buckets").alias("buckets")
@@ -178,8 +178,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
     labels = components(edges, classes.select(F.col("cid").alias("node"), F.col("first_id").alias("label")))
     known = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     known = known.select("class", F.coalesce("label", "first_id").alias("component_id"))
-    return rows.select("doc_id", "class", "n_shingles").join(known, "class", "left").select(
+    return rows.select("doc_id", "text_hash", "class", "n_shingles").join(known, "class", "left").select(
         "doc_id",
+        "text_hash",
         "class",
         "n_shingles",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -200,10 +201,15 @@ def _of_class(texts: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each component."""
+    """The rows of ``docs``, all columns, with one document of each component.
+
+    Rows that repeat the id and text of the document that stays are that document.
+    """
     found = near_duplicates(docs, size, threshold)
-    dropped = save(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    gone = found.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    gone = save(gone.distinct(), "near-duplicates")
+    same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_hash"))
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 def op3_minhash(spark, sf_dir):

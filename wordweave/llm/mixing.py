@@ -267,6 +267,12 @@ def mix(docs: DataFrame, sources: Column, weights: dict[Source, int] | None = No
     return Mix(rows, sizes, targets, given)
 
 
+def repeated(mixture: Mix, columns: list[str]) -> DataFrame:
+    """Each row as often as the mixture takes it."""
+    times = F.expr("explode(array_repeat(0, int(mix_repeats)))").alias("mix_copy")
+    return mixture.rows.where("mix_repeats > 0").select(*columns, times).drop("mix_copy")
+
+
 def own_source() -> Column:
     return F.array(F.col("source").cast("string"))
 

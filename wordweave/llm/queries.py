@@ -15,12 +15,14 @@ _MODULES = {
     "op6_toxicity": "toxicity",
     "op7_exact_dedup": "exact_dedup",
     "op8_quality": "quality",
+    "op9_language_model": "language_model",
     "op10_decontaminate": "decontaminate",
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: getattr(importlib.import_module(f"wordweave.llm.{module}"), name) for name, module in _MODULES.items()}
+    found = {name: getattr(importlib.import_module(f"wordweave.llm.{module}"), name) for name, module in _MODULES.items()}
+    return {**found, "pipeline": importlib.import_module("corpus_pipeline").run}
 
 
 def oracle_sql() -> dict[str, str]:

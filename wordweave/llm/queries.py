@@ -11,6 +11,7 @@ _MODULES = {
     "op1_mixing": "mixing",
     "op2_secrets": "secrets",
     "op3_minhash": "minhash",
+    "op4_suffix_dedup": "repeats",
     "op5_sharding": "sharding",
     "op6_toxicity": "toxicity",
     "op7_exact_dedup": "exact_dedup",

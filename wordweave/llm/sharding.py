@@ -90,9 +90,12 @@ def shuffle_buckets(scattered: DataFrame, seed: int = 0) -> DataFrame:
     return ordered.groupBy("shard_no", "bucket_no").applyInPandas(shuffle, schema)
 
 
-def write_shards(docs: DataFrame, path: str, n_shards: int = 40, bucket_bytes: int = BUCKET_BYTES, seed: int = 0) -> None:
-    """Write all rows under ``path``, a folder per shard, rows in shuffled order by bucket."""
-    shuffle_buckets(scatter(docs, n_shards, bucket_bytes, seed), seed).write.partitionBy("shard_no").parquet(path)
+def write_shards(docs: DataFrame, path: str, n_shards: int = 40, bucket_bytes: int = BUCKET_BYTES, seed: int = 0) -> DataFrame:
+    """Write all rows under ``path``, a folder per shard, rows in shuffled order by bucket; returns them as read back."""
+    shuffled = shuffle_buckets(scatter(docs, n_shards, bucket_bytes, seed), seed)
+    shuffled.write.partitionBy("shard_no").parquet(path)
+    # An empty table leaves no file that has the columns.
+    return docs.sparkSession.read.schema(shuffled.schema).parquet(path)
 
 
 def with_slots(rows: DataFrame) -> DataFrame:
@@ -110,8 +113,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, bucket_bytes: int = BUC
     """Write the shards to the shared folder and return their rows as read back."""
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
-    write_shards(docs, path, n_shards, bucket_bytes, seed)
-    return spark.read.parquet(path)
+    return write_shards(docs, path, n_shards, bucket_bytes, seed)
 
 
 def digest_of_shards(rows: DataFrame, n_shards: int = 40, seed: int = 0) -> list[Column]:

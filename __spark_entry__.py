@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordweave.functions.text import LINES_PER_DOCUMENT
 from wordweave.functions.threshold import Threshold
 from wordweave.operators import inverted_index as idx
 from wordweave.operators import line_sets as ls
@@ -29,8 +30,6 @@ MAX_COUNT = 4000
 FOUR_FIFTHS = Threshold(4, 5, inclusive=True)
 HALF = Threshold(1, 2, inclusive=False)
 
-LINES_PER_DOCUMENT = 1_000_000
-
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents_table(spark, f"{sf_dir}/documents.parquet")
@@ -323,11 +322,11 @@ FROM line_texts QUALIFY count(*) OVER (PARTITION BY words) > 1""",
         "adjacent_line_scores": f"""WITH {_LINE_WORDS},
 shared AS (
   SELECT a.k AS lo, b.k AS hi, count(*) AS inter
-  FROM line_words a JOIN line_words b ON b.k = a.k + 1 AND a.tok = b.tok GROUP BY a.k, b.k
+  FROM line_words a JOIN line_words b ON b.doc_id = a.doc_id AND b.line_no = a.line_no + 1 AND a.tok = b.tok GROUP BY a.k, b.k
 )
 SELECT a.k AS lo, b.k AS hi, CAST(coalesce(s.inter, 0) AS INTEGER) AS inter,
        CAST(a.size + b.size - coalesce(s.inter, 0) AS INTEGER) AS uni
-FROM line_texts a JOIN line_texts b ON b.k = a.k + 1 LEFT JOIN shared s ON s.lo = a.k AND s.hi = b.k""",
+FROM line_texts a JOIN line_texts b ON b.doc_id = a.doc_id AND b.line_no = a.line_no + 1 LEFT JOIN shared s ON s.lo = a.k AND s.hi = b.k""",
         "naive_comparisons": f"""WITH {_LINE_WORDS}
 SELECT 'comparisons' AS metric, CAST(count(*) * (count(*) - 1) // 2 AS VARCHAR) AS value FROM line_texts""",
         "prefix_comparisons": f"""WITH {_LINE_WORDS},

@@ -72,3 +72,11 @@ def test_prefix_length_in_integers(spark, num, den, expected):
     sizes = spark.createDataFrame([(n,) for n in expected], "n bigint")
     found = sizes.select("n", Threshold(num, den).prefix_length("n"))
     assert as_dict(found) == expected
+
+
+def test_adjacent_lines_end_with_their_document(documents):
+    from wordweave.plans import similarity_jobs
+
+    docs = documents("\n" * 999_999 + "a b", "a b\nb c")
+    scored = similarity_jobs.adjacent_line_scores(docs, 100).select("lo", "hi").collect()
+    assert [tuple(r) for r in scored] == [(2_000_000, 2_000_001)]

@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the test tables."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -20,11 +22,15 @@ def con():
     return con
 
 
+# Queries of the part that can be left out are tested beside it.
+OWN = sorted(name for name in registry.queries() if name != "pipeline" and not re.match(r"op\d+_", name))
+
+
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert set(OWN) <= registry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, con, name):
     found = registry.queries()[name](spark, str(SF))
     expected = con.sql(registry.oracle_sql()[name])

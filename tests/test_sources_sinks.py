@@ -56,11 +56,10 @@ def test_outputs_are_replaced(documents, tmp_path):
     assert written(path) == ["cat : 1#1, 2#1", "dog : 1#1"]
 
 
-def test_small_reports_are_one_file(spark, tmp_path, monkeypatch):
+def test_the_caller_chooses_one_file(spark, tmp_path):
     rows = spark.range(100).selectExpr("cast(id as string) as tok", "id as n").repartition(4)
-    write_report(rows, str(tmp_path / "one"))
+    write_report(rows, str(tmp_path / "one"), one_file=True)
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    monkeypatch.setattr(text_sink, "MAX_REPORT_ROWS", 10)
     write_report(rows, str(tmp_path / "many"))
     assert len(list((tmp_path / "many").glob("part-*"))) == 4
     assert written(tmp_path / "one") == written(tmp_path / "many")

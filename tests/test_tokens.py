@@ -120,3 +120,9 @@ def test_lines_of_random_texts(documents):
         if expected[-1] == "":
             expected.pop()
         assert found.get(doc_id, []) == expected, text
+
+
+def test_long_runs_of_blanks_take_linear_time(spark):
+    text = "a" + "\t" * 1_000_000 + "b"
+    rows = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert tokens(rows, "delim").count() == 1

@@ -10,16 +10,17 @@ DELIMITERS = " .,?!\"'()[]$*-_;:|"
 # Characters a token is stripped of at both ends.
 BLANKS = "".join(chr(code) for code in range(0x21))
 
-_DELIM_CLASS = r" .,?!\"'()\[\]$*\-_;:|\r\n"
-# One run of delimiters together with the blanks around it, so tokens come out stripped.
-_DELIM_RUN = rf"[\x00-\x09\x0b\x0c\x0e-\x1f]*[{_DELIM_CLASS}][\x00-\x20{_DELIM_CLASS}]*"
+_DELIM_RUN = "[" + "".join(f"\\{c}" if c in "[]-" else c for c in DELIMITERS) + r"\r\n]+"
 _NOT_ALNUM_RUN = r"[^a-z0-9]+"
 
+# Keys of lines leave room for this many lines in a document.
+LINES_PER_DOCUMENT = 1_000_000
+
 TOKENIZERS = ("alnum", "delim")
 
 
 def words(text: Column | str, mode: str) -> Column:
-    """Lower-case tokens of a text as an array; may hold empty strings at its ends.
+    """Lower-case tokens of a text as an array; may hold empty strings.
 
     ``delim`` splits on the fixed delimiters and line ends and strips blanks from
     each token; ``alnum`` splits on everything but ``a-z`` and ``0-9``.
@@ -28,7 +29,8 @@ def words(text: Column | str, mode: str) -> Column:
     if mode == "alnum":
         return F.split(lowered, _NOT_ALNUM_RUN)
     if mode == "delim":
-        return F.split(F.btrim(lowered, F.lit(BLANKS)), _DELIM_RUN)
+        # Stripped after the split: one pass over a text, whatever runs of blanks it holds.
+        return F.transform(F.split(lowered, _DELIM_RUN), lambda w: F.btrim(w, F.lit(BLANKS)))
     raise ValueError(f"unknown tokenizer {mode!r}, expected one of {TOKENIZERS}")
 
 
@@ -40,7 +42,7 @@ def text_lines(text: str) -> Column:
     return F.when(F.length(raw) > 0, F.split(F.coalesce(closed, unified), "\n", -1))
 
 
-def line_key(doc_id: Column, line_no: Column, lines_per_document: int = 1_000_000) -> Column:
+def line_key(doc_id: Column, line_no: Column, lines_per_document: int = LINES_PER_DOCUMENT) -> Column:
     """Pack ``(doc_id, line_no)`` into one bigint that sorts the same way."""
     packed = doc_id.cast("bigint") * F.lit(lines_per_document) + line_no
     too_long = F.raise_error(

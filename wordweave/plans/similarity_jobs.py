@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordweave.functions.text import LINES_PER_DOCUMENT
 from wordweave.functions.threshold import Threshold
 from wordweave.operators import line_sets as ls
 from wordweave.operators import similarity as sim
@@ -81,5 +82,10 @@ def adjacent_line_scores(documents: DataFrame, max_count: int = 4000) -> DataFra
     """Jaccard similarity of each line to the next line of its document, where both hold words."""
     rare = rare_lines(documents, max_count)
     sets = save(ls.line_id_sets(rare.words), "line-sets").withColumnRenamed("key", "set_id")
-    pairs = sets.select(F.col("set_id").alias("lo"), (F.col("set_id") + 1).alias("hi"))
+    key = F.col("set_id")
+    if sets.schema["set_id"].dataType.typeName() == "struct":
+        pairs = sets.select(key.alias("lo"), F.struct(key["doc_id"].alias("doc_id"), (key["line_no"] + 1).alias("line_no")).alias("hi"))
+    else:
+        # Line 0 of a document follows no line of it, though its key may follow another document's last.
+        pairs = sets.select(key.alias("lo"), (key + 1).alias("hi")).where(F.pmod("hi", F.lit(LINES_PER_DOCUMENT)) != 0)
     return sim.score_pairs(pairs, sets, "lo", "hi")

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A report up to this many rows is written as one file.
-MAX_REPORT_ROWS = 100_000
-
 # Separators of the text layouts.
 COUNT_SEPARATOR = ", "
 INDEX_SEPARATOR = " : "
@@ -15,7 +12,7 @@ LINE_SEPARATOR = ","
 
 
 def _as_text(df: DataFrame, separator: str) -> DataFrame:
-    return df.select(F.concat_ws(separator, *[F.col(c).cast("string") for c in df.columns]).alias("value"))
+    return df.select(F.concat_ws(separator, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("value"))
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR) -> None:
@@ -23,17 +20,15 @@ def write_delimited(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR)
     _as_text(df, separator).write.mode("overwrite").text(path)
 
 
-def write_report(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR) -> None:
-    """Like :func:`write_delimited`, as one file if the table is small enough for it."""
+def write_report(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR, one_file: bool = False) -> None:
+    """Like :func:`write_delimited`; with ``one_file`` all rows go through one task."""
     rows = _as_text(df, separator)
-    if rows.limit(MAX_REPORT_ROWS + 1).count() <= MAX_REPORT_ROWS:
-        rows = rows.coalesce(1)
-    rows.write.mode("overwrite").text(path)
+    (rows.coalesce(1) if one_file else rows).write.mode("overwrite").text(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Write ``(metric, value)`` rows as ``metric: value``."""
-    write_report(metrics, path, ": ")
+    write_report(metrics, path, ": ", one_file=True)
 
 
 def render_pairs(pairs: DataFrame, in_parentheses: bool = False) -> DataFrame:

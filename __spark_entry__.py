@@ -45,8 +45,8 @@ def _unpacked(df: DataFrame, key: str = "key") -> DataFrame:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Similar lines at threshold 4/5; the small corpus takes a lower frequency cap."""
-    return similarity_jobs.similar_lines(_documents(spark, SMALL), FOUR_FIFTHS, max_count=400)
+    """Similar line sets at threshold 4/5; the small corpus takes a lower frequency cap."""
+    return similarity_jobs.similar_groups(similarity_jobs.collapsed_line_sets(_documents(spark, SMALL), 400), FOUR_FIFTHS)
 
 
 def word_count(spark, sf_dir):
@@ -109,15 +109,15 @@ def prefix_postings(spark, sf_dir):
 
 
 def naive_similarity(spark, sf_dir):
-    return similarity_jobs.similar_lines_with_texts(_documents(spark, sf_dir), FOUR_FIFTHS, MAX_COUNT)
+    return similarity_jobs.similar_groups_with_texts(_documents(spark, sf_dir), FOUR_FIFTHS, MAX_COUNT)
 
 
 def prefix_similarity_08(spark, sf_dir):
-    return similarity_jobs.similar_lines(_documents(spark, sf_dir), FOUR_FIFTHS, MAX_COUNT)
+    return _unpacked(similarity_jobs.line_links(_documents(spark, sf_dir), FOUR_FIFTHS, MAX_COUNT))
 
 
 def prefix_similarity_05(spark, sf_dir):
-    return similarity_jobs.similar_lines(_documents(spark, sf_dir), HALF, MAX_COUNT)
+    return _unpacked(similarity_jobs.line_links(_documents(spark, sf_dir), HALF, MAX_COUNT))
 
 
 def similar_groups_08(spark, sf_dir):
@@ -180,7 +180,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # SQL building blocks.  They follow the definitions of the results directly: no prefix
-# filter, no collapsed sets where a query lists lines, no shared code with the jobs.
+# filter and no shared code with the jobs.
 
 _ALNUM = """
 alnum AS (
@@ -252,31 +252,27 @@ set_pairs AS (
 _REACHES = {"08": "5 * inter >= 4 * uni", "05": "2 * inter > uni"}
 
 
-def _line_pairs_sql(threshold: str) -> str:
-    return f"""{_SET_PAIRS},
-matching AS (
-  SELECT id_a, id_b, CAST(inter AS DOUBLE) / CAST(uni AS DOUBLE) AS similarity
-  FROM set_pairs WHERE {_REACHES[threshold]}
-  UNION ALL SELECT id, id, CAST(1 AS DOUBLE) FROM sets WHERE copies > 1
+def _links_sql(threshold: str) -> str:
+    return f"""WITH {_SET_PAIRS},
+matching AS (SELECT id_a, id_b FROM set_pairs WHERE {_REACHES[threshold]}),
+sides AS (
+  SELECT m.id_a AS id, b.copies AS n FROM matching m JOIN sets b ON b.id = m.id_b
+  UNION ALL SELECT m.id_b, a.copies FROM matching m JOIN sets a ON a.id = m.id_a
 ),
-members AS (SELECT s.id, t.k, t.words FROM line_texts t JOIN sets s ON s.words = t.words),
-line_pairs AS (
-  SELECT least(a.k, b.k) AS lo, greatest(a.k, b.k) AS hi, p.similarity,
-         CASE WHEN a.k < b.k THEN a.words ELSE b.words END AS text_lo,
-         CASE WHEN a.k < b.k THEN b.words ELSE a.words END AS text_hi
-  FROM matching p JOIN members a ON a.id = p.id_a JOIN members b ON b.id = p.id_b
-  WHERE p.id_a <> p.id_b OR a.k < b.k
-)"""
+links AS (SELECT id, sum(n) AS n FROM sides GROUP BY id)
+SELECT t.doc_id, t.line_no, s.id AS set_id, CAST(s.copies - 1 + coalesce(l.n, 0) AS BIGINT) AS n_links
+FROM line_texts t JOIN sets s ON s.words = t.words LEFT JOIN links l ON l.id = s.id"""
 
 
-def _groups_sql(threshold: str) -> str:
+def _groups_sql(threshold: str, texts: bool = False) -> str:
+    across, within = (", a.words AS text_lo, b.words AS text_hi", ", words, words") if texts else ("", "")
     return f"""WITH {_SET_PAIRS}
 SELECT p.id_a AS set_lo, p.id_b AS set_hi, CAST(p.inter AS DOUBLE) / CAST(p.uni AS DOUBLE) AS similarity,
-       a.copies AS n_lo, b.copies AS n_hi
+       a.copies AS n_lo, b.copies AS n_hi{across}
 FROM set_pairs p JOIN sets a ON a.id = p.id_a JOIN sets b ON b.id = p.id_b
 WHERE {_REACHES[threshold]}
 UNION ALL
-SELECT id, id, CAST(1 AS DOUBLE), copies, copies FROM sets WHERE copies > 1"""
+SELECT id, id, CAST(1 AS DOUBLE), copies, copies{within} FROM sets WHERE copies > 1"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -311,9 +307,9 @@ ranked AS (
   FROM line_words
 )
 SELECT tok, doc_id, line_no FROM ranked WHERE place <= size - (size + 1) // 2 + 1""",
-        "naive_similarity": f"WITH {_line_pairs_sql('08')} SELECT lo, hi, similarity, text_lo, text_hi FROM line_pairs",
-        "prefix_similarity_08": f"WITH {_line_pairs_sql('08')} SELECT lo, hi, similarity FROM line_pairs",
-        "prefix_similarity_05": f"WITH {_line_pairs_sql('05')} SELECT lo, hi, similarity FROM line_pairs",
+        "naive_similarity": _groups_sql("08", texts=True),
+        "prefix_similarity_08": _links_sql("08"),
+        "prefix_similarity_05": _links_sql("05"),
         "similar_groups_08": _groups_sql("08"),
         "similar_groups_05": _groups_sql("05"),
         "line_group_members": f"""WITH {_LINE_WORDS}

@@ -4,6 +4,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tests.conftest import TESTDATA
@@ -41,9 +42,16 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_entry(spark):
-    pairs = registry.entry(spark)
-    assert pairs.columns == ["lo", "hi", "similarity"]
-    assert pairs.count() == 1109
+    groups = registry.entry(spark)
+    assert groups.columns == ["set_lo", "set_hi", "similarity", "n_lo", "n_hi"]
+    pairs = F.when(F.col("set_lo") == F.col("set_hi"), F.expr("n_lo * (n_lo - 1) div 2")).otherwise(F.col("n_lo") * F.col("n_hi"))
+    assert groups.agg(F.sum(pairs)).first()[0] == 1109
+
+
+@pytest.mark.parametrize("name", [n for n in OWN if n != "first_line_sets"])
+def test_no_ordered_limit_in_a_plan(spark, name):
+    plan = registry.queries()[name](spark, str(SF))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "CartesianProduct" not in plan
 
 
 @pytest.mark.parametrize(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordweave.operators.tokens import without_hottest
-from wordweave.shared import fits_broadcast
 
 
 def term_frequencies(tokens: DataFrame) -> DataFrame:
@@ -17,12 +16,10 @@ def term_frequencies(tokens: DataFrame) -> DataFrame:
 def inverted_index(tokens: DataFrame, stop_list: DataFrame) -> DataFrame:
     """Term frequencies without the terms of a ``(tok, n)`` stop list.
 
-    A list too long to broadcast loses its tail after the aggregation, where a word
-    is one row per document and not one row per occurrence.
+    The list's hottest words are dropped first and its tail after the aggregation, where
+    a word is one row per document and not one row per occurrence.
     """
     frequencies = term_frequencies(without_hottest(tokens, stop_list))
-    if fits_broadcast(stop_list):
-        return frequencies
     return frequencies.join(stop_list.select("tok"), "tok", "left_anti")
 
 

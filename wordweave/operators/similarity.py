@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordweave.functions.threshold import Threshold, jaccard, shared_words, unordered_pairs
 from wordweave.operators.terms import metric
-from wordweave.shared import save
+from wordweave.shared import hot_share, save
 
 # A word with more postings than this is split into blocks that meet block by block.
 BLOCK_POSTINGS = 4096
@@ -61,7 +61,7 @@ def set_members(id_sets: DataFrame, sets: DataFrame, hot_copies: int = HOT_COPIE
     hot = repeated.where((F.col("n_lines") > hot_copies) & (F.size("ids") <= MAX_BROADCAST_SET))
     if hot.isEmpty():
         return id_sets.join(repeated, "ids").select("set_id", "n_lines", "key")
-    hot = hot.orderBy(F.desc("n_lines"), "set_id").limit(MAX_BROADCAST_SETS)
+    hot = hot.where(hot_share("n_lines", hot.agg(F.sum("n_lines")).first()[0], MAX_BROADCAST_SETS))
     of_hot = id_sets.join(F.broadcast(hot), "ids")
     rest = repeated.join(F.broadcast(hot.select("set_id")), "set_id", "left_anti")
     of_rest = id_sets.join(F.broadcast(hot.select("ids")), "ids", "left_anti").join(rest, "ids")
@@ -98,13 +98,12 @@ def _meet_in_blocks(index: DataFrame, probe: DataFrame, hot: DataFrame) -> tuple
 def hot_prefix_words(probe: DataFrame, block: int = BLOCK_POSTINGS) -> DataFrame:
     """``(word_id, n_blocks)`` for the words with more than ``block`` postings.
 
-    At most ``MAX_HOT_WORDS``, the hottest first, so that the table can be broadcast; a
-    word beyond them has too small a share of all postings to need splitting.
+    At most ``MAX_HOT_WORDS``, so that the table can be broadcast: those with at least
+    that share of the postings of all such words; others are too small to need splitting.
     """
     sizes = probe.groupBy("word_id").agg(F.count("*").alias("n_postings"))
-    hottest = (
-        sizes.where(F.col("n_postings") > block).orderBy(F.desc("n_postings"), "word_id").limit(MAX_HOT_WORDS)
-    )
+    over = save(sizes.where(F.col("n_postings") > block), "long-postings")
+    hottest = over.where(hot_share("n_postings", over.agg(F.sum("n_postings")).first()[0], MAX_HOT_WORDS))
     return hottest.select("word_id", _blocks("n_postings", block).alias("n_blocks"))
 
 
@@ -224,6 +223,20 @@ def with_texts(groups: DataFrame, sets: DataFrame, vocab: DataFrame) -> DataFram
     return groups
 
 
+def line_links(groups: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``(key, set_id, n_links)``: each line with its set and the number of lines similar to it.
+
+    Says how often a line is matched without listing the pairs of :func:`similar_groups`.
+    """
+    same = F.col("set_lo") == F.col("set_hi")
+    lo = F.struct(F.col("set_lo").alias("set_id"), F.when(same, F.col("n_lo") - 1).otherwise(F.col("n_hi")).alias("n"))
+    hi = F.struct(F.col("set_hi").alias("set_id"), F.when(same, 0).otherwise(F.col("n_lo")).alias("n"))
+    links = groups.select(F.explode(F.array(lo, hi)).alias("side")).groupBy("side.set_id").agg(F.sum("side.n").alias("n_links"))
+    single = sets.where(F.col("n_lines") == 1).select("set_id", F.col("set_id").alias("key"))
+    lines = single.unionByName(members.select("set_id", "key"))
+    return lines.join(links, "set_id", "left").select("key", "set_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def line_pairs(groups: DataFrame, members: DataFrame, block: int = BLOCK_MEMBERS) -> DataFrame:
     """List every line pair of :func:`similar_groups` as ``(lo, hi, similarity)``.
 

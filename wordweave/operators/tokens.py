@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordweave.functions.text import line_key, text_lines, words
-from wordweave.shared import fits_broadcast, hottest_words
+from wordweave.shared import hottest_words
 
 
 def tokens(documents: DataFrame, mode: str) -> DataFrame:
@@ -51,10 +51,7 @@ def without_hottest(stream: DataFrame, word_list: DataFrame) -> DataFrame:
 def without_words(stream: DataFrame, word_list: DataFrame) -> DataFrame:
     """Drop the rows of a ``tok`` stream whose word is in a ``(tok, n)`` list.
 
-    The list's hottest words go by broadcast; a list too long for that loses the
-    rest by a shuffled anti-join, which no hot word reaches any more.
+    The list's hottest words go by a bounded broadcast and the rest by an anti-join,
+    which no hot word reaches any more.
     """
-    kept = without_hottest(stream, word_list)
-    if fits_broadcast(word_list):
-        return kept
-    return kept.join(word_list.select("tok"), "tok", "left_anti")
+    return without_hottest(stream, word_list).join(word_list.select("tok"), "tok", "left_anti")

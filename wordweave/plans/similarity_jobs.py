@@ -65,6 +65,19 @@ def similar_groups(lines: LineSets, threshold: Threshold) -> DataFrame:
     return sim.similar_groups(similar, lines.sets, threshold)
 
 
+def similar_groups_with_texts(documents: DataFrame, threshold: Threshold, max_count: int = 4000) -> DataFrame:
+    """Similar line sets with their numbers of lines and both texts, once per pair of sets."""
+    lines = collapsed_line_sets(documents, max_count)
+    groups = save(similar_groups(lines, threshold), "similar-groups")
+    return sim.with_texts(groups, lines.sets, lines.rare.vocab)
+
+
+def line_links(documents: DataFrame, threshold: Threshold, max_count: int = 4000) -> DataFrame:
+    """``(key, set_id, n_links)``: every line with a set and the number of lines similar to it."""
+    lines = collapsed_line_sets(documents, max_count)
+    return sim.line_links(similar_groups(lines, threshold), lines.sets, lines.members)
+
+
 def similar_lines(documents: DataFrame, threshold: Threshold, max_count: int = 4000) -> DataFrame:
     """``(lo, hi, similarity)`` for all pairs of similar lines."""
     lines = collapsed_line_sets(documents, max_count)

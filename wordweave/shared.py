@@ -1,11 +1,11 @@
-"""Shared-folder tables, size-checked broadcasts and scan parallelism."""
+"""Shared-folder tables, bounded broadcasts and scan parallelism."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A broadcast word list holds at most this many words of at most this many
@@ -67,20 +67,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key)
 
 
+def hot_share(n: str, total: int | None, at_most: int) -> Column:
+    """Rows with at least one part in ``at_most`` of ``total``, the sum of ``n``: by arithmetic no more than that many."""
+    return F.col(n) >= max(1, -(-(total or 0) // at_most))
+
+
 def hottest_words(words: DataFrame) -> DataFrame:
-    """The most frequent words of a ``(tok, n)`` table, bounded for a broadcast."""
-    return (
-        words.where(F.length("tok") <= MAX_BROADCAST_CHARS)
-        .orderBy(F.desc("n"), "tok")
-        .limit(MAX_BROADCAST_WORDS)
-        .select("tok")
-    )
-
-
-def fits_broadcast(words: DataFrame) -> bool:
-    """Whether :func:`hottest_words` holds the whole list."""
-    size = words.agg(
-        F.count("*").alias("n_words"),
-        F.count_if(F.length("tok") > MAX_BROADCAST_CHARS).alias("n_long"),
-    ).first()
-    return size["n_words"] <= MAX_BROADCAST_WORDS and size["n_long"] == 0
+    """The most frequent words of a ``(tok, n)`` table, bounded for a broadcast without an order or a limit."""
+    total = words.agg(F.sum("n")).first()[0]
+    return words.where(hot_share("n", total, MAX_BROADCAST_WORDS) & (F.length("tok") <= MAX_BROADCAST_CHARS)).select("tok")

@@ -69,7 +69,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 def hot_share(n: str, total: int | None, at_most: int) -> Column:
     """Rows with at least one part in ``at_most`` of ``total``, the sum of ``n``: by arithmetic no more than that many."""
-    return F.col(n) >= max(1, -(-(total or 0) // at_most))
+    return F.col(n) >= max(1, -(-(total or 0) // at_most)) if at_most else F.lit(False)
 
 
 def hottest_words(words: DataFrame) -> DataFrame:

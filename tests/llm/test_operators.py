@@ -51,6 +51,54 @@ def test_index_insertion_and_deletion(odd):
     assert exact_dedup.update_index(index, groups, 3, remove=True).where("digest is not null").count() == 0
 
 
+def _chains():
+    """Rings of texts, each near its neighbours alone, so that one bucket holds several components."""
+    rng = random.Random(5)
+    texts = []
+    for ring in range(12):
+        words = [f"w{ring}x{i}" for i in range(60)]
+        for step in range(25):
+            texts.append(" ".join(words))
+            for at in rng.sample(range(60), rng.choice([1, 2, 3])):
+                words[at] = f"n{ring}x{step}x{at}"
+    return texts
+
+
+def _linked(texts, size, threshold):
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    label = list(range(len(texts)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                label[b] = a
+    return [root(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("size", [1, 2])
+def test_near_duplicates_in_chains(spark, size):
+    texts = _chains()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, size).collect()}
+    assert found == dict(enumerate(_linked(texts, size, 80)))
+
+
+def test_near_duplicates_without_an_id(spark):
+    body = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, body + " a"), (7, body + " b"), (9, body + " c"), (None, "else"), (9, body + " c")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert sorted((r["component_id"] or 0) for r in found) == [0, 7, 7, 7, 7]
+
+
 def test_near_duplicates(odd, nothing):
     found = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in minhash.near_duplicates(odd, 2).collect()}
     labels = {k[0]: v for k, v in found.items() if k[0] is not None}

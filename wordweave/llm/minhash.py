@@ -5,11 +5,12 @@ are collapsed first.  One hash of each shingle fills ``BANDS * ROWS`` bins; an e
 copies the first filled bin of its own fixed random order.  Bands of bins are buckets.
 A bucket does not emit its pairs but a star: its members against two centres, the member
 that shares buckets with the most others and the one with the least hash.  Stars are
-confirmed on the full sets and connected.
+confirmed on the full sets and connected.  Where members of one bucket are in different
+components still, the members that were no centre form new stars, until none are left: so
+every pair of a bucket is either compared or known to be connected.
 
 A near-duplicate pair is missed by all buckets with probability below 1e-7 at the
-threshold; stars may further miss a link between two members that are near each other
-but near neither centre of any bucket they share.
+threshold; no other link is lost.
 
 Null and empty texts have empty sets and link to nothing; a text of fewer than ``size``
 words has its whole sequence as its only shingle.  Rows with equal ids are documents of
@@ -114,26 +115,60 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
     return map_rows(rows, "doc_id long, text_hash long, class binary, n_shingles long, buckets array<long>", start)
 
 
-def star_pairs(classes: DataFrame, threshold: int) -> DataFrame:
-    """Distinct ``(a, b)`` of classes to compare: members of each bucket against its centres."""
-    placed = classes.select("cid", "n_shingles", F.explode("buckets").alias("bucket"))
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """``(bucket, cid, n_shingles, label, n)`` for the buckets with ``n > 1`` classes."""
+    placed = classes.select("cid", "n_shingles", "label", F.explode("buckets").alias("bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = save(placed.join(sizes, "bucket"), "shared-buckets")
-    popular = shared.groupBy("cid").agg(F.sum("n").alias("popularity"))
-    known = shared.select("bucket", "cid", "n_shingles").join(popular, "cid")
-    member = F.struct("cid", "n_shingles")
-    centres = known.groupBy("bucket").agg(
+    return save(placed.join(sizes, "bucket"), "shared-buckets")
+
+
+def first_centres(members: DataFrame) -> DataFrame:
+    """``(bucket, c)``: the member that shares buckets with the most others and the one with the least hash."""
+    popular = members.groupBy("cid").agg(F.sum("n").alias("popularity"))
+    member = F.struct("cid", "n_shingles", "label")
+    centres = members.join(popular, "cid").groupBy("bucket").agg(
         F.max(F.struct("popularity", F.xxhash64("cid"), member.alias("m"))).alias("most"),
         F.min(F.struct(F.xxhash64("cid"), member.alias("m"))).alias("least"),
     )
-    centres = centres.select("bucket", F.col("most.m").alias("c1"), F.col("least.m").alias("c2"))
-    stars = shared.select("bucket", "cid", "n_shingles").join(centres, "bucket")
-    pairs = stars.select("cid", "n_shingles", F.explode(F.array("c1", "c2")).alias("c"))
+    both = F.array_distinct(F.array("most.m", "least.m"))
+    return save(centres.select("bucket", F.explode(both).alias("c")), "centres")
+
+
+def next_centres(members: DataFrame, turn: int) -> DataFrame:
+    """``(bucket, c)`` for a later turn: a member of the first and of the last component of
+    each bucket and one of each of ``2**turn`` lots of components and of members.
+
+    Lots double, so the turns grow with the logarithm of a bucket.
+    """
+    member = F.struct("label", F.xxhash64("cid"), F.struct("cid", "n_shingles", "label").alias("m"))
+    lots = 1 << min(turn, 20)
+    of_label, of_cid = (F.pmod(F.xxhash64(F.lit(turn), c), F.lit(lots)) for c in ("label", "cid"))
+    ends = members.groupBy("bucket").agg(F.min(member).alias("lo"), F.max(member).alias("hi"))
+    ends = ends.select("bucket", F.explode(F.array("lo.m", "hi.m")).alias("c"))
+    drawn = members.groupBy("bucket", of_label, of_cid).agg(F.min(member).alias("lo")).select("bucket", F.col("lo.m").alias("c"))
+    return save(ends.unionByName(drawn).distinct(), "centres")
+
+
+def star_pairs(members: DataFrame, centres: DataFrame, threshold: int) -> DataFrame:
+    """Distinct ``(a, b)`` of classes to compare: members of each bucket against its centres in other components."""
+    pairs = members.select("bucket", "cid", "n_shingles", "label").join(centres, "bucket")
     close = F.least("n_shingles", "c.n_shingles") * 100 >= F.greatest("n_shingles", "c.n_shingles") * threshold
-    pairs = pairs.where((F.col("cid") != F.col("c.cid")) & close)
+    pairs = pairs.where((F.col("cid") != F.col("c.cid")) & (F.col("label") != F.col("c.label")) & close)
     return pairs.select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")).distinct()
 
 
+def untested(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members that were no centre, of buckets where such members are in more than one component."""
+    were = centres.select("bucket", F.col("c.cid").alias("cid"))
+    # A bucket of two has no pair without a centre.
+    left = members.where("n > 2").join(were, ["bucket", "cid"], "left_anti")
+    known = left.join(labels.select(F.col("node").alias("cid"), F.col("label").alias("found")), "cid", "left")
+    known = known.select("bucket", "cid", "n_shingles", F.coalesce("found", "label").alias("label"), "n")
+    known = save(known, "left-members")
+    spans = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return save(known.join(spans.where("lo != hi").select("bucket"), "bucket", "left_semi"), "open-buckets")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """The ``(a, b)`` whose full sets reach ``threshold`` percent; ``texts`` has ``cid, raw``."""
     for side in ("a", "b"):
@@ -160,24 +195,50 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) ->
     return map_rows(pairs.select("a", "b", "raw_a", "raw_b"), "a long, b long", start)
 
 
+def class_components(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> DataFrame:
+    """``(node, label)`` of the classes that are linked to others.
+
+    Turn by turn the buckets get new centres, until no bucket holds two members of
+    different components that neither a star nor a component has settled.
+    """
+    members = bucket_members(classes)
+    centres, turn = first_centres(members), 0
+    tested = found = None
+    while True:
+        pairs = star_pairs(members, centres, threshold)
+        pairs = save(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "star-pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = save(confirmed(pairs, _texts(docs, classes, pairs), size, threshold), "links")
+        found = links if found is None else found.unionByName(links)
+        labels = components(found, classes.select(F.col("cid").alias("node"), "label"))
+        members = untested(members, centres, labels)
+        if members.isEmpty():
+            return labels
+        turn += 1
+        centres = next_centres(members, turn)
+
+
+def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(cid, raw)`` for the classes of ``pairs``: the text of any document of a class; its first id finds it."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    holders = save(classes.join(wanted, "cid", "left_semi").select("cid", "class", "first_id"), "candidates")
+    keyed = docs.select(F.col("doc_id").cast("long"), utf8().alias("raw"))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id"))
+    return save(_of_class(keyed.join(holders.hint("merge"), same)), "candidate-texts")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """``(doc_id, text_hash, class, n_shingles, component_id)``, one row per document."""
     rows = save(fingerprints(docs, size), "fingerprints")
     collapsed = rows.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("buckets").alias("buckets")
     )
-    # Ids are unique and fixed once the table is written.
-    classes = save(collapsed.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    pairs = save(star_pairs(classes, threshold), "star-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    # The text of a class is that of any of its documents; its first id finds it.
-    holders = save(classes.join(wanted, "cid", "left_semi").select("cid", "class", F.col("first_id").alias("doc_id")), "candidates")
-    texts = docs.select(F.col("doc_id").cast("long"), utf8().alias("raw")).join(holders.hint("merge"), "doc_id")
-    texts = save(_of_class(texts), "candidate-texts")
-    edges = save(confirmed(pairs, texts, size, threshold), "links")
-    labels = components(edges, classes.select(F.col("cid").alias("node"), F.col("first_id").alias("label")))
-    known = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    known = known.select("class", F.coalesce("label", "first_id").alias("component_id"))
+    # A null id comes last.  Class ids are unique and fixed once the table is written.
+    label = F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("id"))
+    classes = save(collapsed.withColumns({"cid": F.monotonically_increasing_id(), "label": label}), "classes")
+    labels = class_components(docs, classes, size, threshold)
+    known = classes.join(labels.select(F.col("node").alias("cid"), F.col("label").alias("found")), "cid", "left")
+    known = known.select("class", F.coalesce("found", "label")["id"].alias("component_id"))
     return rows.select("doc_id", "text_hash", "class", "n_shingles").join(known, "class", "left").select(
         "doc_id",
         "text_hash",
@@ -188,16 +249,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> Data
 
 
 def _of_class(texts: DataFrame) -> DataFrame:
-    """Where an id occurs with several texts, only the text of the class; one row a class."""
+    """Where an id occurs with several texts, only the text of the class, once for rows that repeat each other."""
 
     def start():
+        # Rows of one id follow each other.
+        last: dict = {"doc_id": None, "cids": set()}
+
         def one(row: dict) -> list[tuple]:
+            if row["doc_id"] != last["doc_id"]:
+                last.update(doc_id=row["doc_id"], cids=set())
+            if row["cid"] in last["cids"]:
+                return []
             same = hashlib.blake2b(b" ".join(row["raw"].lower().split()), digest_size=16).digest()
-            return [(row["cid"], row["raw"])] if same == row["class"] else []
+            if same != row["class"]:
+                return []
+            last["cids"].add(row["cid"])
+            return [(row["cid"], row["raw"])]
 
         return one
 
-    return map_rows(texts.select("cid", "class", "raw"), "cid long, raw binary", start)
+    return map_rows(texts.select("doc_id", "cid", "class", "raw"), "cid long, raw binary", start)
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:

@@ -15,7 +15,9 @@ from wordweave.operators import similarity as sim
 from wordweave.operators import terms
 from wordweave.operators.tokens import lines
 from wordweave.plans import index_jobs, similarity_jobs
+from wordweave.sinks.text import LINE_SEPARATOR, render_delimited, render_pairs
 from wordweave.sources import documents_table
+from wordweave.sources.delimited import parse_cleaned_lines, parse_stop_words, parse_word_counts
 
 try:
     from wordweave.llm import queries as llm
@@ -150,6 +152,45 @@ def prefix_comparisons(spark, sf_dir):
     return sim.prefix_comparisons(collapsed.sets, HALF).withColumn("value", F.col("value").cast("bigint"))
 
 
+def rendered_word_counts(spark, sf_dir):
+    return render_delimited(word_count(spark, sf_dir))
+
+
+def parsed_word_counts(spark, sf_dir):
+    return parse_word_counts(rendered_word_counts(spark, sf_dir))
+
+
+def parsed_stop_words(spark, sf_dir):
+    """The stop list written as plain words and read back."""
+    return parse_stop_words(render_delimited(stop_words(spark, sf_dir).select("tok")))
+
+
+def rendered_cleaned_lines(spark, sf_dir):
+    sets = similarity_jobs.line_sets(_documents(spark, sf_dir), MAX_COUNT)
+    return render_delimited(ls.rendered_line_sets(sets), LINE_SEPARATOR)
+
+
+def parsed_cleaned_lines(spark, sf_dir):
+    return _unpacked(ls.rendered_line_sets(parse_cleaned_lines(rendered_cleaned_lines(spark, sf_dir))))
+
+
+def _rendered_pairs(spark, sf_dir, in_parentheses):
+    groups = naive_similarity(spark, sf_dir).withColumnsRenamed({"set_lo": "lo", "set_hi": "hi"})
+    return render_pairs(groups, in_parentheses)
+
+
+def rendered_pairs(spark, sf_dir):
+    return _rendered_pairs(spark, sf_dir, False)
+
+
+def rendered_pairs_in_parentheses(spark, sf_dir):
+    return _rendered_pairs(spark, sf_dir, True)
+
+
+def rendered_metrics(spark, sf_dir):
+    return render_delimited(distinct_term_count(spark, sf_dir), ": ")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "word_count": word_count,
@@ -175,6 +216,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "adjacent_line_scores": adjacent_line_scores,
         "naive_comparisons": naive_comparisons,
         "prefix_comparisons": prefix_comparisons,
+        "rendered_word_counts": rendered_word_counts,
+        "parsed_word_counts": parsed_word_counts,
+        "parsed_stop_words": parsed_stop_words,
+        "rendered_cleaned_lines": rendered_cleaned_lines,
+        "parsed_cleaned_lines": parsed_cleaned_lines,
+        "rendered_pairs": rendered_pairs,
+        "rendered_pairs_in_parentheses": rendered_pairs_in_parentheses,
+        "rendered_metrics": rendered_metrics,
         **(llm.queries() if llm else {}),
     }
 
@@ -275,6 +324,12 @@ UNION ALL
 SELECT id, id, CAST(1 AS DOUBLE), copies, copies{within} FROM sets WHERE copies > 1"""
 
 
+def _rendered_pairs_sql(keys: str) -> str:
+    return f"""SELECT {keys} || ' : ' || CAST(CAST(similarity AS FLOAT) AS VARCHAR) || chr(9)
+       || '"' || text_lo || '" - "' || text_hi || '"' AS value
+FROM ({_groups_sql("08", texts=True)})"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "word_count": f"WITH {_ALNUM} SELECT tok, n FROM alnum_counts",
@@ -332,5 +387,14 @@ ranked AS (
 ),
 sizes AS (SELECT tok, count(*) AS c FROM ranked WHERE place <= size - (size + 1) // 2 + 1 GROUP BY tok)
 SELECT 'comparisons' AS metric, CAST(sum(c * (c - 1) // 2) AS BIGINT) AS value FROM sizes""",
+        "rendered_word_counts": f"WITH {_ALNUM} SELECT tok || ', ' || n AS value FROM alnum_counts",
+        "parsed_word_counts": f"WITH {_ALNUM} SELECT tok, n FROM alnum_counts",
+        "parsed_stop_words": f"WITH {_DELIM} SELECT tok, CAST(0 AS BIGINT) AS n FROM delim_counts WHERE n > {MIN_COUNT}",
+        "rendered_cleaned_lines": f"WITH {_LINE_WORDS} SELECT k || ',' || words AS value FROM line_texts",
+        "parsed_cleaned_lines": f"WITH {_LINE_WORDS} SELECT doc_id, line_no, words FROM line_texts",
+        "rendered_pairs": _rendered_pairs_sql("set_lo || chr(9) || set_hi"),
+        "rendered_pairs_in_parentheses": _rendered_pairs_sql("'(' || set_lo || ', ' || set_hi || ')'"),
+        "rendered_metrics": f"""WITH {_INDEX}
+SELECT 'distinct_terms: ' || count(DISTINCT tok) AS value FROM frequencies""",
         **(llm.oracle_sql() if llm else {}),
     }

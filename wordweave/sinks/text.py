@@ -11,18 +11,19 @@ INDEX_SEPARATOR = " : "
 LINE_SEPARATOR = ","
 
 
-def _as_text(df: DataFrame, separator: str) -> DataFrame:
+def render_delimited(df: DataFrame, separator: str = COUNT_SEPARATOR) -> DataFrame:
+    """The columns of ``df``, in order, as one ``value``; a null is an empty field."""
     return df.select(F.concat_ws(separator, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("value"))
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR) -> None:
     """Write the columns of ``df``, in order, joined by ``separator``."""
-    _as_text(df, separator).write.mode("overwrite").text(path)
+    render_delimited(df, separator).write.mode("overwrite").text(path)
 
 
 def write_report(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR, one_file: bool = False) -> None:
     """Like :func:`write_delimited`; with ``one_file`` all rows go through one task."""
-    rows = _as_text(df, separator)
+    rows = render_delimited(df, separator)
     (rows.coalesce(1) if one_file else rows).write.mode("overwrite").text(path)
 
 

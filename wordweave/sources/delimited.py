@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def word_counts(spark: SparkSession, path: str) -> DataFrame:
-    """``word, count`` rows as ``(tok, n)``; a row of another shape raises."""
-    return spark.read.csv(path, schema="tok string, n bigint", sep=", ", quote="", mode="FAILFAST")
+def _fields(rows: DataFrame, schema: str, separator: str) -> DataFrame:
+    # A row of another shape raises.
+    options = {"sep": separator, "quote": "", "mode": "FAILFAST"}
+    return rows.select(F.from_csv("value", schema, options).alias("row")).select("row.*")
 
 
-def stop_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """``word, count`` or plain ``word`` rows as ``(tok, n)``; without a count ``n`` is 0."""
-    rows = spark.read.text(path)
+def parse_word_counts(rows: DataFrame) -> DataFrame:
+    """``word, count`` values as ``(tok, n)``; a row of another shape raises."""
+    return _fields(rows, "tok string, n bigint", ", ")
+
+
+def parse_stop_words(rows: DataFrame) -> DataFrame:
+    """``word, count`` or plain ``word`` values as ``(tok, n)``; without a count ``n`` is 0."""
     count = F.trim(F.split_part("value", F.lit(","), F.lit(2)))
     return rows.select(
         F.split_part("value", F.lit(","), F.lit(1)).alias("tok"),
@@ -21,7 +26,18 @@ def stop_word_list(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def parse_cleaned_lines(rows: DataFrame) -> DataFrame:
+    """``key,word word word`` values as ``(key, toks)``."""
+    return _fields(rows, "key bigint, words string", ",").select("key", F.split("words", " ").alias("toks"))
+
+
+def word_counts(spark: SparkSession, path: str) -> DataFrame:
+    return parse_word_counts(spark.read.text(path))
+
+
+def stop_word_list(spark: SparkSession, path: str) -> DataFrame:
+    return parse_stop_words(spark.read.text(path))
+
+
 def cleaned_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``key,word word word`` rows as ``(key, toks)``."""
-    rows = spark.read.csv(path, schema="key bigint, words string", sep=",", quote="", mode="FAILFAST")
-    return rows.select("key", F.split("words", " ").alias("toks"))
+    return parse_cleaned_lines(spark.read.text(path))

@@ -1,3 +1,4 @@
+import random
 import subprocess
 import sys
 from pathlib import Path
@@ -14,7 +15,7 @@ from wordweave.plans import index_jobs
 from wordweave.plans import similarity_jobs as jobs
 from wordweave.sinks import write_delimited, write_metrics, write_pairs, write_report
 from wordweave.sinks import text as text_sink
-from wordweave.sources import cleaned_lines, stop_word_list, text_documents, text_lines_by_file, word_counts
+from wordweave.sources import cleaned_lines, numbered_text_lines, stop_word_list, text_documents, text_lines_by_file, word_counts
 
 
 def written(path):
@@ -148,3 +149,42 @@ def test_sets_from_text_can_be_joined(spark, tmp_path):
     distinct = sim.distinct_sets(lines)
     pairs = sim.similar_sets(distinct, Threshold(4, 5)).collect()
     assert [(r.set_lo, r.set_hi, r.inter, r.uni) for r in pairs] == [(0, 7, 4, 5)]
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "512")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_numbered_lines_of_split_files(spark, tmp_path, small_splits):
+    rng = random.Random(3)
+    folder = tmp_path / "corpus"
+    folder.mkdir()
+    texts = {name: [" ".join(rng.choices("abcdefg", k=rng.randrange(6))) for _ in range(300)] for name in ("one", "two")}
+    for name, lines in texts.items():
+        (folder / name).write_text("\n".join(lines) + "\n")
+    read = numbered_text_lines(spark, str(folder))
+    rows = read.collect()
+    assert len({r["key"] for r in rows}) == len(rows)
+    for name, lines in texts.items():
+        mine = sorted((r["line_no"], r["line"]) for r in rows if r["doc_id"].endswith(name))
+        assert mine == list(enumerate(lines))
+    # Jobs on lines find what they find for the same texts in a table.
+    table = spark.createDataFrame([(i, "\n".join(texts[n])) for i, n in enumerate(texts)], "doc_id long, text string")
+    place = {r["key"]: list(texts).index(r["doc_id"].rsplit("/", 1)[1]) * 1_000_000 + r["line_no"] for r in rows}
+    found = {tuple(sorted((place[r["lo"]], place[r["hi"]]))) for r in jobs.similar_lines(read, Threshold(4, 5)).collect()}
+    assert found == {(r["lo"], r["hi"]) for r in jobs.similar_lines(table, Threshold(4, 5)).collect()}
+    adjacent = {(place[r["lo"]], place[r["hi"]], r["inter"], r["uni"]) for r in jobs.adjacent_line_scores(read).collect()}
+    assert adjacent == {tuple(r) for r in jobs.adjacent_line_scores(table).select("lo", "hi", "inter", "uni").collect()}
+
+
+def test_jobs_on_lines_refuse_lines_without_a_number(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a b c\nd e f\n")
+    with pytest.raises(Exception, match="text"):
+        jobs.similar_lines(text_lines_by_file(spark, str(tmp_path)), Threshold(4, 5))

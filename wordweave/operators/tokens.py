@@ -10,8 +10,9 @@ from wordweave.shared import hottest_words
 
 
 def tokens(documents: DataFrame, mode: str) -> DataFrame:
-    """``(doc_id, text)`` to ``(doc_id, tok)``, one row per occurrence."""
-    exploded = documents.select("doc_id", F.explode(words("text", mode)).alias("tok"))
+    """``(doc_id, text)`` or ``(doc_id, line)`` to ``(doc_id, tok)``, one row per occurrence."""
+    text = "text" if "text" in documents.columns else "line"
+    exploded = documents.select("doc_id", F.explode(words(text, mode)).alias("tok"))
     return exploded.where(F.col("tok") != "")
 
 
@@ -24,8 +25,11 @@ def keyed_lines(documents: DataFrame, lines_per_document: int = 1_000_000) -> Da
     """Lines as ``(key, line)``.
 
     An integer ``doc_id`` gives a packed bigint key; any other gives the struct
-    ``(doc_id, line_no)``.  Both sort by document, then line.
+    ``(doc_id, line_no)``.  Both sort by document, then line.  Lines that come with a
+    ``key`` keep it.
     """
+    if {"key", "line"} <= set(documents.columns):
+        return documents.select("key", "line")
     numbered = lines(documents)
     if numbered.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
         key = line_key(F.col("doc_id"), F.col("line_no"), lines_per_document)

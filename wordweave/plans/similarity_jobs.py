@@ -96,7 +96,10 @@ def adjacent_line_scores(documents: DataFrame, max_count: int = 4000) -> DataFra
     rare = rare_lines(documents, max_count)
     sets = save(ls.line_id_sets(rare.words), "line-sets").withColumnRenamed("key", "set_id")
     key = F.col("set_id")
-    if sets.schema["set_id"].dataType.typeName() == "struct":
+    if "key" in documents.columns:
+        after = documents.select("doc_id", (F.col("line_no") - 1).alias("line_no"), F.col("key").alias("hi"))
+        pairs = documents.select("doc_id", "line_no", F.col("key").alias("lo")).join(after, ["doc_id", "line_no"]).select("lo", "hi")
+    elif sets.schema["set_id"].dataType.typeName() == "struct":
         pairs = sets.select(key.alias("lo"), F.struct(key["doc_id"].alias("doc_id"), (key["line_no"] + 1).alias("line_no")).alias("hi"))
     else:
         # Line 0 of a document follows no line of it, though its key may follow another document's last.

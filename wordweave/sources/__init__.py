@@ -1,11 +1,12 @@
 """Readers."""
 
-from wordweave.sources.corpus import documents_table, text_documents, text_lines_by_file
+from wordweave.sources.corpus import documents_table, numbered_text_lines, text_documents, text_lines_by_file
 from wordweave.sources.delimited import cleaned_lines, stop_word_list, word_counts
 
 __all__ = [
     "cleaned_lines",
     "documents_table",
+    "numbered_text_lines",
     "stop_word_list",
     "text_documents",
     "text_lines_by_file",

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from wordweave.shared import spread
+from wordweave.shared import save, spread
 
 
 def documents_table(spark: SparkSession, path: str) -> DataFrame:
@@ -14,13 +15,36 @@ def documents_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def text_lines_by_file(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of text files, one row per line, with the file's full path as ``doc_id``.
+    """A folder of text files as ``(doc_id, line)``, with the file's full path as ``doc_id``.
 
     Large files are split between tasks.  Counting words and building an index
-    need no line order, so this is the reader for both.
+    need no line order, so this is the reader for both.  Jobs on lines refuse it,
+    as its lines have no number; they take :func:`numbered_text_lines`.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    return lines.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
+    return lines.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("line"))
+
+
+def numbered_text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of text files as ``(doc_id, line_no, key, line)``; large files are split between tasks.
+
+    ``key`` is a bigint of its own for each line.  Lines are written once, because
+    the order in which a scan meets its splits may change when it is repeated.  A split of a
+    file is read in order by one task, so a line's number is its place in the split
+    plus the lines of the file's earlier splits.
+    """
+    raw = spark.read.option("recursiveFileLookup", True).text(path)
+    placed = raw.select(
+        F.col("_metadata.file_path").alias("doc_id"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("key"),
+        F.col("value").alias("line"),
+    )
+    placed = save(placed, "text-lines")
+    splits = placed.groupBy("doc_id", "split").agg(F.min("key").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("doc_id").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("doc_id", "split", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    return placed.join(starts, ["doc_id", "split"]).select("doc_id", (F.col("key") + F.col("shift")).alias("line_no"), "key", "line")
 
 
 def text_documents(spark: SparkSession, path: str) -> DataFrame:

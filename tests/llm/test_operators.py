@@ -140,6 +140,25 @@ def test_templates_catch_changed_values(spark, nothing):
     assert decontaminate.contaminated(nothing, items).count() == 0
 
 
+def test_repeated_windows_are_aligned_as_a_whole(spark):
+    """Items whose template repeats a window: verbatim, with an insertion, beside other numbers, and another list."""
+    series = "2, 4, 6, 8, 10, 12, 14 what comes next in the series"
+    numbers = "3 1 4 15 9 2 6 5 35 8 97 93"
+    parts = "first 3 8 21 55 144 377 then add 7 11 13 17 19 23 at last"
+    items = spark.createDataFrame([(1, series), (2, numbers), (3, parts)], "item_id bigint, text string")
+    texts = [
+        series,
+        "rows 1 2 3 4 5 6 7 8 9 then " + series,
+        "70 71 72 73 74 75 76 77 78 79 80 " + numbers + " 60 61 62 63 64 65 66",
+        parts.replace(" then", " and then please"),
+        "5, 4, 4, 5, 4, 5, 5 what comes next in the series",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert [r for r in rows if r[1] != 2] == [(0, 1), (1, 1), (3, 3)]
+    assert (2, 2) in rows
+
+
 def test_mixture_comes_near_its_targets(spark, odd, nothing):
     docs = spark.read.parquet(str(SF / "documents.parquet"))
     mixture = mixing.mix(docs, mixing.own_source())

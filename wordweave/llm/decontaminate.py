@@ -4,7 +4,8 @@ Numbers, names and units become typed placeholders, so a question whose values w
 changed has the same template.  Windows of five template words are joined by hash.  A
 document is contaminated by an item when it holds at least ``MIN_COVERAGE`` of the item's
 windows and the values in the placeholders correspond: one value of the item stands for
-one value of the document throughout.
+one value of the document throughout.  A window may occur at several places; the values
+correspond if they do in any alignment of item and document.
 
 A name is a capitalised word that follows a lower-case letter, a comma or a semicolon.
 A text with fewer words than a window is one window of its own, so a short item only
@@ -16,12 +17,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wordweave.shared import save
 
 WINDOW = 5
 MIN_COVERAGE = 0.5
 MIN_CONSISTENT = 0.8
+# Runs whose offsets differ by so many words at most are near each other.
+BAND = 16
 # Item windows up to this number (24 bytes each) are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_WINDOWS = 1_000_000
 
@@ -36,6 +40,7 @@ _SLOT = "\u0001"
 # A row's identity without nulls, so that plain equi-joins find it.
 _ROW = ["doc_no", "no_id", "text_hash"]
 _PAIR = [*_ROW, "item_id"]
+_ALIGNED = [*_PAIR, "anchor", "rule"]
 
 
 def _row_key() -> list[Column]:
@@ -100,42 +105,81 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     items = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull())
     index = save(windows(items, ["item_id"], window).withColumnRenamed("pos", "item_pos"), "benchmark-windows")
     lookup = F.broadcast(index) if index.count() <= MAX_BROADCAST_WINDOWS else index
-    document_windows = windows(rows, _ROW, window).drop("n_windows")
-    hits = document_windows.join(lookup, "window").select(*_PAIR, "n_windows", "item_pos", "pos")
-    # One aligned place per item window: its first place in the document.
-    places = hits.groupBy(*_PAIR, "n_windows", "item_pos").agg(F.min("pos").alias("pos"))
-    found = places.groupBy(*_PAIR, "n_windows").agg(
-        F.count("*").alias("n_matched"), F.collect_list(F.struct("item_pos", "pos")).alias("places")
+    hits = _hits(rows, lookup, window)
+    matched = hits.select(*_PAIR, "n_windows", "item_pos").distinct().groupBy(*_PAIR, "n_windows").agg(F.count("*").alias("n_matched"))
+    covered = save(matched.where(F.col("n_matched") >= F.ceil(F.col("n_windows") * F.lit(min_coverage))), "covered-items")
+    # Rows that repeat each other are read once.
+    wanted = rows.join(covered.select(*_ROW).distinct(), _ROW, "left_semi").groupBy(*_ROW).agg(F.any_value("text").alias("text"))
+    wanted = save(wanted, "covered-documents")
+    places = _alignments(_hits(wanted, lookup, window).join(covered.select(*_PAIR), _PAIR, "left_semi"))
+    # Of a pair's alignments the one with the largest part of consistent slots.
+    part = F.col("n_consistent") / F.col("n_slots")
+    best = _slots(places, covered, wanted, items, window).groupBy(*_PAIR).agg(
+        F.max(F.struct(part, F.col("n_slots"), F.col("n_consistent"))).alias("best")
     )
-    covered = save(found.where(F.col("n_matched") >= F.ceil(F.col("n_windows") * F.lit(min_coverage))), "covered-items")
-    checked = covered.join(_slots(covered, rows, items, window), _PAIR, "left").select(
+    checked = covered.join(best, _PAIR, "left").select(
         F.when(~F.col("no_id"), F.col("doc_no")).alias("doc_id"),
         "text_hash",
         "item_id",
         "n_matched",
         "n_windows",
-        F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
-        F.coalesce("n_consistent", F.lit(0)).alias("n_consistent"),
+        F.coalesce("best.n_slots", F.lit(0)).alias("n_slots"),
+        F.coalesce("best.n_consistent", F.lit(0)).alias("n_consistent"),
     )
     return checked.where(F.col("n_consistent") >= F.ceil(F.col("n_slots") * F.lit(MIN_CONSISTENT)))
 
 
-def _slots(covered: DataFrame, rows: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """Per pair the number of placeholders in matched windows and of those whose values correspond."""
+def _hits(rows: DataFrame, lookup: DataFrame, window: int) -> DataFrame:
+    """``(*_PAIR, n_windows, item_pos, pos)`` for every place where a row holds a window of an item."""
+    found = windows(rows, _ROW, window).drop("n_windows").join(lookup, "window")
+    return found.select(*_PAIR, "n_windows", "item_pos", "pos")
+
+
+def _alignments(hits: DataFrame) -> DataFrame:
+    """``(*_PAIR, anchor, rule, item_pos, pos)``: one place per matched item window in each alignment.
+
+    Windows that follow each other in item and document make a run; its offset is
+    ``pos - item_pos``.  Every offset of a pair anchors two alignments: each window goes
+    to its longest run near the anchor (rule 0) or to its nearest (rule 1), and without
+    a run there to its longest run anywhere, so insertions are allowed.
+    """
+    offsets = hits.select(*_PAIR, "item_pos", (F.col("pos") - F.col("item_pos")).alias("off"))
+    order = Window.partitionBy(*_PAIR, "off").orderBy("item_pos")
+    islands = offsets.withColumn("island", F.col("item_pos") - F.row_number().over(order))
+    runs = save(
+        islands.groupBy(*_PAIR, "off", "island").agg(F.min("item_pos").alias("first"), F.count("*").alias("length")).drop("island"), "aligned-runs"
+    )
+    anchors = runs.select(*_PAIR, F.col("off").alias("anchor")).distinct()
+    covers = F.explode(F.expr("sequence(first, int(first + length - 1))")).alias("item_pos")
+    longest = runs.select(*_PAIR, "off", "length", covers).groupBy(*_PAIR, "item_pos").agg(F.max(F.struct("length", -F.col("off"), "off")).alias("run"))
+    anywhere = longest.join(anchors, _PAIR).select(*_PAIR, "anchor", "item_pos", F.lit(0).alias("near"), "run.off", "run.length")
+    band = F.floor(F.col("off") / BAND)
+    around = F.explode(F.array(*[F.floor(F.col("anchor") / BAND) + i for i in (-1, 0, 1)])).alias("band")
+    near = runs.withColumn("band", band).join(anchors.select("*", around), [*_PAIR, "band"])
+    near = near.where(F.abs(F.col("off") - F.col("anchor")) <= BAND).select(*_PAIR, "anchor", covers, F.lit(1).alias("near"), "off", "length")
+    closeness = -F.abs(F.col("off") - F.col("anchor"))
+    first, second = (F.when(F.col("rule") == 0, a).otherwise(b) for a, b in ((F.col("length"), closeness), (closeness, F.col("length"))))
+    rules = F.explode(F.array(F.lit(0), F.lit(1))).alias("rule")
+    choices = near.unionByName(anywhere).select("*", rules).groupBy(*_PAIR, "anchor", "rule", "item_pos")
+    chosen = choices.agg(F.max(F.struct("near", first.alias("first"), second.alias("second"), "off")).alias("run"))
+    return chosen.select(*_PAIR, "anchor", "rule", "item_pos", (F.col("item_pos") + F.col("run.off")).alias("pos"))
+
+
+def _slots(places: DataFrame, covered: DataFrame, wanted: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """Per alignment the number of placeholders in matched windows and of those whose values correspond."""
     inside = F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("step")
-    aligned = covered.select(*_PAIR, F.explode("places").alias("place")).select(*_PAIR, "place.*", inside)
+    aligned = places.select(*_ALIGNED, "item_pos", "pos", inside)
     item_at, doc_at = ((F.col(at) + F.col("step")).alias(name) for at, name in (("item_pos", "item_at"), ("pos", "doc_at")))
     item_values = _values(items.join(covered.select("item_id").distinct(), "item_id", "left_semi"), ["item_id"], "item")
-    aligned = aligned.select(*_PAIR, item_at, doc_at).distinct().join(item_values, ["item_id", "item_at"])
-    wanted = rows.join(aligned.select(*_ROW).distinct(), _ROW, "left_semi")
-    doc_values = _values(wanted, _ROW, "doc").distinct()
-    matched = aligned.join(doc_values, [*_ROW, "doc_at"]).select(*_PAIR, "item", "doc")
-    counts = matched.groupBy(*_PAIR, "item", "doc").agg(F.count("*").alias("n"))
+    aligned = aligned.select(*_ALIGNED, item_at, doc_at).distinct().join(item_values, ["item_id", "item_at"])
+    doc_values = _values(wanted, _ROW, "doc")
+    matched = aligned.join(doc_values, [*_ROW, "doc_at"]).select(*_ALIGNED, "item", "doc")
+    counts = matched.groupBy(*_ALIGNED, "item", "doc").agg(F.count("*").alias("n"))
     # A value of the item corresponds to the document's value it meets most often.
-    best = counts.groupBy(*_PAIR, "item").agg(F.sum("n").alias("n"), F.max(F.struct("n", "doc")).alias("top"))
+    best = counts.groupBy(*_ALIGNED, "item").agg(F.sum("n").alias("n"), F.max(F.struct("n", "doc")).alias("top"))
     # And no two values of the item to one value of the document.
-    single = best.groupBy(*_PAIR, F.col("top.doc").alias("doc")).agg(F.sum("n").alias("n"), F.max("top.n").alias("kept"))
-    return single.groupBy(*_PAIR).agg(F.sum("n").alias("n_slots"), F.sum("kept").alias("n_consistent"))
+    single = best.groupBy(*_ALIGNED, F.col("top.doc").alias("doc")).agg(F.sum("n").alias("n"), F.max("top.n").alias("kept"))
+    return single.groupBy(*_ALIGNED).agg(F.sum("n").alias("n_slots"), F.sum("kept").alias("n_consistent"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

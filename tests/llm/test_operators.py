@@ -159,6 +159,28 @@ def test_repeated_windows_are_aligned_as_a_whole(spark):
     assert (2, 2) in rows
 
 
+def test_signs_first_words_and_short_items(spark):
+    rows = [
+        (1, "Pay $12 for -5 plums, $30 for +7 pears and x=9 more"),
+        (2, "Tom has 3 apples. Tom gives 1 to Mary. Tom eats it"),
+        (3, "Solve it for 12"),
+        (4, "40 kg"),
+    ]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    texts = [
+        "Pay €15 for -8 plums, €45 for +2 pears and x=4 more",
+        "Jim has 5 apples. Jim gives 2 to Anna. Jim eats it",
+        "Now read this. Solve it for 99 and then go on to the next one",
+        "it weighs 40 kg as all of them do",
+        "it weighs 41 kg as all of them do",
+        "41 kg",
+        "Jim has 5 apples. Bob gives 2 to Jim. Max eats it",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert found == [(0, 1), (1, 2), (2, 3), (3, 4), (5, 4)]
+
+
 def test_mixture_comes_near_its_targets(spark, odd, nothing):
     docs = spark.read.parquet(str(SF / "documents.parquet"))
     mixture = mixing.mix(docs, mixing.own_source())

@@ -8,13 +8,18 @@ one value of the document throughout.  A window may occur at several places; the
 correspond if they do in any alignment of item and document.
 
 A name is a capitalised word that follows a lower-case letter, a comma or a semicolon.
-A text with fewer words than a window is one window of its own, so a short item only
-matches a document that says no more.  Null and empty texts have no windows.  Repeated
+Other capitalised words, as at the beginning of a sentence, may be names: windows that
+hold one are made in both readings.  Signs before a number are words of their own, those of
+money placeholders.  An item with fewer words than a window is one window of its own and is
+looked up in windows of its length; if all its words are placeholders, a longer document
+holds it with the same values only.  Null and empty texts have no windows.  Repeated
 rows give repeated results; other columns play no part.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -61,14 +66,20 @@ _NUMBER = r"\p{Nd}+(?:[.,]\p{Nd}+)*"
 _WITH_UNIT = rf"({_NUMBER})\s?((?i:{_unit_pattern()}))(?![\p{{L}}\p{{Nd}}])"
 _BARE_NUMBER = rf"(?<![{_SLOT}n\p{{Nd}}.,])({_NUMBER})"
 _NAME = r"\p{Lu}(?<=[\p{Ll},;]\s\p{Lu})\p{L}*"
+_PERHAPS_NAME = r"(^|\s)([.,;:!?\"“”„()\[\]{}…]*)(\p{Lu}\p{Ll}\p{L}*)"
+_MONEY = r"([$€£])(?=\p{Nd})"
+_SIGNS = r"([-−–+±=≈~<>≤≥*×÷^#]+)(?=[$€£]?\p{Nd})"
 
 
 def marked_words(text: str) -> Column:
-    """Words, lower-case and without marks; a placeholder is ``\\1n``, ``\\1u`` or ``\\1p`` and its value."""
+    """Words, lower-case and without marks; a placeholder is ``\\1n``, ``\\1u`` or ``\\1p`` and its value,
+    ``\\1i`` a word that may be a name."""
     clean = F.translate(F.coalesce(F.col(text), F.lit("")), _SLOT, " ")
     # A dot or comma inside a number is no mark.
     names = F.regexp_replace(clean, _NAME, f"{_SLOT}p$0")
-    units = F.regexp_replace(names, _WITH_UNIT, f"{_SLOT}n$1 {_SLOT}u$2")
+    names = F.regexp_replace(names, _PERHAPS_NAME, f"$1$2{_SLOT}i$3")
+    signs = F.regexp_replace(F.regexp_replace(names, _SIGNS, " $1 "), _MONEY, f" {_SLOT}u$1 ")
+    units = F.regexp_replace(signs, _WITH_UNIT, f"{_SLOT}n$1 {_SLOT}u$2")
     numbers = F.regexp_replace(units, _BARE_NUMBER, f"{_SLOT}n$1")
     has_digit = F.regexp_like(clean, F.lit(r"\p{Nd}"))
     marked = F.lower(F.when(has_digit, numbers).otherwise(names))
@@ -76,27 +87,50 @@ def marked_words(text: str) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def _template(words: Column) -> Column:
-    return F.transform(words, lambda w: F.when(F.startswith(w, F.lit(_SLOT)), F.left(w, F.lit(2))).otherwise(w))
+def _template(words: Column, perhaps: Callable[[Column], Column]) -> Column:
+    """Placeholders without their values; ``perhaps`` reads the words that may be names."""
+    slot = F.lit(_SLOT)
+    return F.transform(
+        words,
+        lambda w: F.when(~F.startswith(w, slot), w).when(F.startswith(w, F.lit(f"{_SLOT}i")), perhaps(w)).otherwise(F.left(w, F.lit(2))),
+    )
+
 
+def windows(texts: DataFrame, keys: list[str], window: int = WINDOW, lengths: list[int] | None = None) -> DataFrame:
+    """``(*keys, n_windows, width, pos, window)`` for every window of every text.
 
-def windows(texts: DataFrame, keys: list[str], window: int = WINDOW) -> DataFrame:
-    """``(*keys, n_windows, pos, window)`` for every window of every text."""
+    Windows have ``width`` words: each of ``lengths``, by default ``window`` or the whole
+    of a shorter text.
+    """
     # Explode of a one-entry array: the words are made once, however often they are used.
-    templates = texts.select(*keys, F.explode(F.array(_template(marked_words("text")))).alias("words")).where(
-        F.size("words") > 0
+    words = texts.select(*keys, F.explode(F.array(marked_words("text"))).alias("words")).where(F.size("words") > 0)
+    widths = F.array(F.least(F.size("words"), F.lit(window))) if lengths is None else F.array(*map(F.lit, lengths))
+    readings = F.struct(
+        _template("words", lambda w: F.substring(w, 3, 1 << 30)).alias("plain"), _template("words", lambda w: F.lit(f"{_SLOT}p")).alias("named")
     )
+    templates = words.select(*keys, "words", F.explode(F.array(readings)).alias("t"), F.size("words").alias("size"))
+    templates = templates.select(*keys, "words", "t.plain", "t.named", "size", F.explode(widths).alias("width")).where("size >= width")
+    literal = f"w -> not startswith(w, '{_SLOT}')"
+    part = "slice({}, i + 1, width)"
+    plain, named, valued = (part.format(c) for c in ("plain", "named", "words"))
+    # A short window of placeholders alone stands for its values, unless it is the whole text.
+    short = f"if(width < {window} and not exists({plain}, {literal}), xxhash64({valued}), xxhash64({plain}))"
+    places = "transform(sequence(0, size - width), i -> struct(i AS pos, {} AS window))"
+    other = f"if({named} != {plain} and exists({named}, {literal}), xxhash64({named}), null)"
     hashes = F.expr(
-        f"transform(sequence(0, greatest(size(words) - {window}, 0)), i -> xxhash64(slice(words, i + 1, {window})))"
+        f"""concat({places.format(short)},
+            if(size = width and width < {window}, array(struct(0 AS pos, xxhash64(plain) AS window)), array()),
+            if(named != plain, filter({places.format(other)}, x -> x.window is not null), array()))"""
     )
-    hashed = templates.select(*keys, hashes.alias("hashes"))
-    return hashed.select(*keys, F.size("hashes").alias("n_windows"), F.posexplode("hashes").alias("pos", "window"))
+    return templates.select(*keys, (F.col("size") - F.col("width") + 1).alias("n_windows"), "width", F.inline(hashes))
 
 
 def _values(texts: DataFrame, keys: list[str], name: str) -> DataFrame:
-    return texts.select(*keys, F.posexplode(marked_words("text")).alias(f"{name}_at", name)).where(
-        F.startswith(F.col(name), F.lit(_SLOT))
-    )
+    """``(*keys, {name}_at, {name}, {name}_perhaps)`` for every placeholder, in both readings."""
+    marked = texts.select(*keys, F.posexplode(marked_words("text")).alias(f"{name}_at", "word")).where(F.startswith("word", F.lit(_SLOT)))
+    perhaps = F.startswith("word", F.lit(f"{_SLOT}i"))
+    value = F.when(perhaps, F.concat(F.lit(f"{_SLOT}p"), F.substring("word", 3, 1 << 30))).otherwise(F.col("word"))
+    return marked.select(*keys, f"{name}_at", value.alias(name), perhaps.alias(f"{name}_perhaps"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_coverage: float = MIN_COVERAGE) -> DataFrame:
@@ -104,17 +138,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     rows = docs.select(*_row_key(), "text")
     items = benchmark.select("item_id", "text").where(F.col("item_id").isNotNull())
     index = save(windows(items, ["item_id"], window).withColumnRenamed("pos", "item_pos"), "benchmark-windows")
+    lengths = sorted({window, *(r["width"] for r in index.select("width").distinct().collect())})
     lookup = F.broadcast(index) if index.count() <= MAX_BROADCAST_WINDOWS else index
-    hits = _hits(rows, lookup, window)
-    matched = hits.select(*_PAIR, "n_windows", "item_pos").distinct().groupBy(*_PAIR, "n_windows").agg(F.count("*").alias("n_matched"))
+    hits = _hits(rows, lookup, window, lengths)
+    matched = hits.select(*_PAIR, "n_windows", "width", "item_pos").distinct()
+    matched = matched.groupBy(*_PAIR, "n_windows", "width").agg(F.count("*").alias("n_matched"))
     covered = save(matched.where(F.col("n_matched") >= F.ceil(F.col("n_windows") * F.lit(min_coverage))), "covered-items")
     # Rows that repeat each other are read once.
     wanted = rows.join(covered.select(*_ROW).distinct(), _ROW, "left_semi").groupBy(*_ROW).agg(F.any_value("text").alias("text"))
     wanted = save(wanted, "covered-documents")
-    places = _alignments(_hits(wanted, lookup, window).join(covered.select(*_PAIR), _PAIR, "left_semi"))
+    places = _alignments(_hits(wanted, lookup, window, lengths).join(covered.select(*_PAIR), _PAIR, "left_semi"))
     # Of a pair's alignments the one with the largest part of consistent slots.
     part = F.col("n_consistent") / F.col("n_slots")
-    best = _slots(places, covered, wanted, items, window).groupBy(*_PAIR).agg(
+    best = _slots(places, covered, wanted, items).groupBy(*_PAIR).agg(
         F.max(F.struct(part, F.col("n_slots"), F.col("n_consistent"))).alias("best")
     )
     checked = covered.join(best, _PAIR, "left").select(
@@ -129,10 +165,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     return checked.where(F.col("n_consistent") >= F.ceil(F.col("n_slots") * F.lit(MIN_CONSISTENT)))
 
 
-def _hits(rows: DataFrame, lookup: DataFrame, window: int) -> DataFrame:
-    """``(*_PAIR, n_windows, item_pos, pos)`` for every place where a row holds a window of an item."""
-    found = windows(rows, _ROW, window).drop("n_windows").join(lookup, "window")
-    return found.select(*_PAIR, "n_windows", "item_pos", "pos")
+def _hits(rows: DataFrame, lookup: DataFrame, window: int, lengths: list[int]) -> DataFrame:
+    """``(*_PAIR, n_windows, width, item_pos, pos)`` for every place where a row holds a window of an item."""
+    found = windows(rows, _ROW, window, lengths).drop("n_windows").join(lookup, ["window", "width"])
+    return found.select(*_PAIR, "n_windows", "width", "item_pos", "pos")
 
 
 def _alignments(hits: DataFrame) -> DataFrame:
@@ -143,7 +179,7 @@ def _alignments(hits: DataFrame) -> DataFrame:
     to its longest run near the anchor (rule 0) or to its nearest (rule 1), and without
     a run there to its longest run anywhere, so insertions are allowed.
     """
-    offsets = hits.select(*_PAIR, "item_pos", (F.col("pos") - F.col("item_pos")).alias("off"))
+    offsets = hits.select(*_PAIR, "item_pos", (F.col("pos") - F.col("item_pos")).alias("off")).distinct()
     order = Window.partitionBy(*_PAIR, "off").orderBy("item_pos")
     islands = offsets.withColumn("island", F.col("item_pos") - F.row_number().over(order))
     runs = save(
@@ -165,15 +201,17 @@ def _alignments(hits: DataFrame) -> DataFrame:
     return chosen.select(*_PAIR, "anchor", "rule", "item_pos", (F.col("item_pos") + F.col("run.off")).alias("pos"))
 
 
-def _slots(places: DataFrame, covered: DataFrame, wanted: DataFrame, items: DataFrame, window: int) -> DataFrame:
+def _slots(places: DataFrame, covered: DataFrame, wanted: DataFrame, items: DataFrame) -> DataFrame:
     """Per alignment the number of placeholders in matched windows and of those whose values correspond."""
-    inside = F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("step")
-    aligned = places.select(*_ALIGNED, "item_pos", "pos", inside)
+    inside = F.explode(F.expr("sequence(0, width - 1)")).alias("step")
+    aligned = places.join(covered.select(*_PAIR, "width"), _PAIR).select(*_ALIGNED, "item_pos", "pos", inside)
     item_at, doc_at = ((F.col(at) + F.col("step")).alias(name) for at, name in (("item_pos", "item_at"), ("pos", "doc_at")))
     item_values = _values(items.join(covered.select("item_id").distinct(), "item_id", "left_semi"), ["item_id"], "item")
     aligned = aligned.select(*_ALIGNED, item_at, doc_at).distinct().join(item_values, ["item_id", "item_at"])
     doc_values = _values(wanted, _ROW, "doc")
-    matched = aligned.join(doc_values, [*_ROW, "doc_at"]).select(*_ALIGNED, "item", "doc")
+    # Equal words that may be names are no sign of a correspondence.
+    same_word = F.col("item_perhaps") & F.col("doc_perhaps") & (F.col("item") == F.col("doc"))
+    matched = aligned.join(doc_values, [*_ROW, "doc_at"]).where(~same_word).select(*_ALIGNED, "item", "doc")
     counts = matched.groupBy(*_ALIGNED, "item", "doc").agg(F.count("*").alias("n"))
     # A value of the item corresponds to the document's value it meets most often.
     best = counts.groupBy(*_ALIGNED, "item").agg(F.sum("n").alias("n"), F.max(F.struct("n", "doc")).alias("top"))

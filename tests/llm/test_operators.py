@@ -194,6 +194,15 @@ def test_mixture_comes_near_its_targets(spark, odd, nothing):
     assert mixing.mix(nothing, mixing.own_source()).rows.count() == 0
 
 
+def test_long_document_at_the_cut_is_made_up_for(spark):
+    texts = [("a", "w " * 10_000)] + [("a", "w " * 5)] * 2000 + [("b", "w " * 5)] * 4000 + [("a", "")] * 600
+    docs = spark.createDataFrame([(i, t, s) for i, (s, t) in enumerate(texts)], "doc_id long, text string, source string")
+    for seed in range(3):
+        mixture = mixing.mix(docs, mixing.own_source(), {"a": 1, "b": 3}, seed=seed)
+        taken = mixture.rows.groupBy(F.col("mix_sources")[0].alias("s")).agg(F.sum("mix_taken").alias("t")).collect()
+        assert {r["s"]: r["t"] for r in taken} == mixture.targets == {"a": 10_000, "b": 30_000}
+
+
 def test_shards(odd, nothing):
     rows = sharding.sharded_digest(odd, 4).collect()
     assert len(rows) == odd.count()

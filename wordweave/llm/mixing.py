@@ -16,6 +16,7 @@ the source ``None``.  Rows equal in ``doc_id`` and text are taken or left togeth
 
 from __future__ import annotations
 
+import functools
 from collections import deque
 from dataclasses import dataclass
 from fractions import Fraction
@@ -30,7 +31,7 @@ from wordweave.shared import save
 MAX_PATTERNS = 100_000
 # The hash range of a pattern is cut in 2**BITS parts at a time.
 BITS = 10
-# This many documents beyond the cut are tried, in hash order, to fill what is left.
+# This many documents beyond the cut are tried at a time, in hash order, to fill what is left.
 FILL = 256
 
 Source = str | None
@@ -195,20 +196,54 @@ def _cut(sized: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _filled(sized: DataFrame, cut: DataFrame) -> DataFrame:
-    """Hashes at and after the cut that are taken too: in hash order, what still fits."""
-    after = sized.join(F.broadcast(cut), "pattern_id").where(F.col("h").between(F.col("start"), F.col("end")))
-    units = after.groupBy("pattern_id", "h", "left").agg(F.sum("size").alias("size"))
+    """``(pattern_id, left, last, hashes)``: of ``FILL`` units at and after the cut, in hash order, what still fits.
+
+    ``left`` is what is missing then and ``last`` the last hash tried.  Units without words are passed over.
+    """
+    after = sized.join(F.broadcast(cut), "pattern_id").where(F.col("h").between(F.col("start"), F.col("end")) & (F.col("size") > 0))
+    units = after.groupBy("pattern_id", "h", "left", "end").agg(F.sum("size").alias("size"))
     nearest = units.withColumn("place", F.row_number().over(Window.partitionBy("pattern_id").orderBy("h"))).where(
         F.col("place") <= FILL
     )
     lists = nearest.groupBy("pattern_id").agg(
-        F.first("left").alias("left"), F.sort_array(F.collect_list(F.struct("h", "size"))).alias("units")
+        F.first("left").alias("left"), F.first("end").alias("end"), F.sort_array(F.collect_list(F.struct("h", "size"))).alias("units")
     )
     fits = F.expr(
         """aggregate(units, struct(left AS left, array_repeat(0L, 0) AS hashes), (a, u) ->
-             if(u.size <= a.left, struct(a.left - u.size AS left, array_append(a.hashes, u.h) AS hashes), a)).hashes"""
+             if(u.size <= a.left, struct(a.left - u.size AS left, array_append(a.hashes, u.h) AS hashes), a))"""
     )
-    return lists.select("pattern_id", F.explode(fits).alias("h"), F.lit(True).alias("filled"))
+    last = F.when(F.size("units") < FILL, F.col("end")).otherwise(F.element_at("units", -1)["h"])
+    return lists.select("pattern_id", last.alias("last"), fits.alias("fits")).select("pattern_id", "fits.left", "last", "fits.hashes")
+
+
+def _beyond(sized: DataFrame, cut: DataFrame) -> DataFrame:
+    """``(pattern_id, h, filled)``: hashes at and after the cut that are taken too.
+
+    What a fill leaves is cut and filled again from the fitting units beyond the last one
+    tried, until none fits.
+    """
+    spark, taken = sized.sparkSession, []
+    while True:
+        fill = save(_filled(sized, cut), "mix-filled")
+        taken.append(fill.select("pattern_id", F.explode("hashes").alias("h")))
+        # Rows of patterns, which MAX_PATTERNS bounds.
+        tried = {r["pattern_id"]: (r["left"], r["last"]) for r in fill.select("pattern_id", "left", "last").collect()}
+        bounds = [(r["pattern_id"], *tried.get(r["pattern_id"], (r["left"], r["end"]))) for r in cut.collect()]
+        bounds = F.broadcast(spark.createDataFrame(bounds, "pattern_id int, left long, last long"))
+        rest = sized.join(bounds, "pattern_id").where((F.col("h") > F.col("last")) & (F.col("size") > 0) & (F.col("size") <= F.col("left")))
+        rest = rest.groupBy("pattern_id", "h", "left").agg(F.sum("size").alias("size")).where(F.col("size") <= F.col("left"))
+        rest = save(rest, "mix-rest")
+        totals = rest.groupBy("pattern_id", "left").agg(F.sum("size").alias("size")).collect()
+        needs = [(r["pattern_id"], r["left"]) for r in totals if r["size"] > r["left"]]
+        plan = spark.createDataFrame(needs, "pattern_id int, need long")
+        rest = rest.select("pattern_id", "size", "h")
+        taken.append(rest.join(F.broadcast(plan), "pattern_id", "left_anti").select("pattern_id", "h"))
+        if not needs:
+            break
+        sized = rest.join(F.broadcast(plan), "pattern_id", "left_semi")
+        cut = _cut(sized, plan)
+        taken.append(sized.join(F.broadcast(cut), "pattern_id").where(F.col("h") < F.col("start")).select("pattern_id", "h"))
+    return functools.reduce(DataFrame.unionByName, taken).withColumn("filled", F.lit(True))
 
 
 def mix(docs: DataFrame, sources: Column, weights: dict[Source, int] | None = None, max_repeats: int = 3, seed: int = 0) -> Mix:
@@ -247,7 +282,7 @@ def mix(docs: DataFrame, sources: Column, weights: dict[Source, int] | None = No
     numbered = F.broadcast(planned.select("pattern_id", F.to_json("pattern").alias("pattern_key")))
     sized = sized.join(numbered, F.to_json("pattern") == F.col("pattern_key")).select("pattern_id", "size", "h")
     cut = _cut(sized, planned.select("pattern_id", "need").where("need > 0"))
-    filled = save(_filled(sized, cut), "mix-filled")
+    filled = save(_beyond(sized, cut), "mix-beyond")
     # Both tables have a row per pattern, so MAX_PATTERNS bounds the broadcasts.
     levels = planned.join(cut.select("pattern_id", "start"), "pattern_id", "left").select(
         "pattern_id", F.to_json("pattern").alias("pattern_key"), "repeats", F.coalesce("start", F.lit(-(2**63))).alias("start")

@@ -18,6 +18,9 @@ _MODULES = {
     "op8_quality": "quality",
     "op9_language_model": "language_model",
     "op10_decontaminate": "decontaminate",
+    "op11_repair": "conversations",
+    "op12_bpe": "bpe",
+    "op13_negatives": "negatives",
 }
 
 
@@ -27,6 +30,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from wordweave.llm import exact_dedup, minhash
+    from wordweave.llm import exact_dedup, minhash, negatives
 
-    return {"op3_minhash": minhash.OP3_SQL, "op7_exact_dedup": exact_dedup.OP7_SQL}
+    return {
+        "op3_minhash": minhash.OP3_SQL,
+        "op7_exact_dedup": exact_dedup.OP7_SQL,
+        "op13_negatives": negatives.OP13_SQL,
+    }

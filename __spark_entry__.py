@@ -15,8 +15,19 @@ from wordweave.operators import similarity as sim
 from wordweave.operators import terms
 from wordweave.operators.tokens import lines
 from wordweave.plans import index_jobs, similarity_jobs
+from wordweave.operators.tokens import tokens
+from wordweave.shared import new_path, save
+from wordweave.sinks import (
+    metric_rows,
+    write_delimited,
+    write_index,
+    write_line_sets,
+    write_packed_documents,
+    write_text_folders,
+)
 from wordweave.sinks.text import LINE_SEPARATOR, render_delimited, render_pairs
-from wordweave.sources import documents_table
+from wordweave.sources import documents_table, packed_documents, stop_word_list, text_lines_by_folder
+from wordweave.sources import word_counts as read_word_counts
 from wordweave.sources.delimited import parse_cleaned_lines, parse_stop_words, parse_word_counts
 
 try:
@@ -29,6 +40,10 @@ SMALL = "/root/testdata/sf0.001"
 
 MIN_COUNT = 4000
 MAX_COUNT = 4000
+# Words of the benchmark table that occur more often are the stop list from elsewhere.
+BENCHMARK_MIN_COUNT = 10
+FIRST_LINES = 5000
+BLOCK_DOCS = idx.BLOCK_DOCS
 FOUR_FIFTHS = Threshold(4, 5, inclusive=True)
 HALF = Threshold(1, 2, inclusive=False)
 
@@ -97,8 +112,8 @@ def line_sets(spark, sf_dir):
 
 
 def first_line_sets(spark, sf_dir):
-    sets = similarity_jobs.line_sets(_documents(spark, sf_dir), MAX_COUNT)
-    return _unpacked(ls.rendered_line_sets(ls.first_lines(sets, 5000)))
+    sets = similarity_jobs.first_line_sets(_documents(spark, sf_dir), FIRST_LINES, MAX_COUNT)
+    return _unpacked(ls.rendered_line_sets(sets))
 
 
 def line_count(spark, sf_dir):
@@ -111,6 +126,11 @@ def prefix_postings(spark, sf_dir):
 
 
 def naive_similarity(spark, sf_dir):
+    """All pairs of the first lines; without a limit the work is the square of the corpus."""
+    return similarity_jobs.first_line_pairs(_documents(spark, sf_dir), FOUR_FIFTHS, FIRST_LINES, MAX_COUNT)
+
+
+def similar_groups_with_texts(spark, sf_dir):
     return similarity_jobs.similar_groups_with_texts(_documents(spark, sf_dir), FOUR_FIFTHS, MAX_COUNT)
 
 
@@ -175,7 +195,7 @@ def parsed_cleaned_lines(spark, sf_dir):
 
 
 def _rendered_pairs(spark, sf_dir, in_parentheses):
-    groups = naive_similarity(spark, sf_dir).withColumnsRenamed({"set_lo": "lo", "set_hi": "hi"})
+    groups = similar_groups_with_texts(spark, sf_dir).withColumnsRenamed({"set_lo": "lo", "set_hi": "hi"})
     return render_pairs(groups, in_parentheses)
 
 
@@ -191,6 +211,76 @@ def rendered_metrics(spark, sf_dir):
     return render_delimited(distinct_term_count(spark, sf_dir), ": ")
 
 
+def written_index_metrics(spark, sf_dir):
+    """The index written as text, with the metrics that the writing tasks took."""
+    return metric_rows(spark, write_index(inverted_index(spark, sf_dir), new_path(spark, "index")))
+
+
+def written_line_set_metrics(spark, sf_dir):
+    """The line sets written as text, with the metrics that the writing tasks took."""
+    sets = similarity_jobs.line_sets(_documents(spark, sf_dir), MAX_COUNT)
+    return metric_rows(spark, write_line_sets(sets, new_path(spark, "cleaned-lines")))
+
+
+def text_file_line_sets(spark, sf_dir):
+    """Line sets of the documents written to text files and read back."""
+    path = new_path(spark, "text-files")
+    write_packed_documents(_documents(spark, sf_dir), path)
+    read = save(packed_documents(spark, path), "read-lines")
+    return _unpacked(ls.rendered_line_sets(similarity_jobs.line_sets(read, MAX_COUNT)))
+
+
+def text_file_index(spark, sf_dir):
+    """Index of a folder of text files in which every source is a document of many files."""
+    path = new_path(spark, "sources")
+    write_text_folders(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, "source")
+    return index_jobs.inverted_index(text_lines_by_folder(spark, path, "source"), MIN_COUNT)
+
+
+def _benchmark_stop_list(spark, sf_dir):
+    """The frequent words of the benchmark table, written as a list and read back."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").withColumnRenamed("item_id", "doc_id")
+    path = new_path(spark, "stop-list")
+    write_delimited(index_jobs.stop_words(items, BENCHMARK_MIN_COUNT), path)
+    return stop_word_list(spark, path)
+
+
+def _index_without_benchmark_words(spark, sf_dir):
+    return idx.inverted_index(tokens(_documents(spark, sf_dir), "delim"), _benchmark_stop_list(spark, sf_dir))
+
+
+def _blocked_index(spark, sf_dir):
+    return idx.blocked_index(_index_without_benchmark_words(spark, sf_dir))
+
+
+def inverted_index_foreign_stop_list(spark, sf_dir):
+    """The index without the words of a shipped stop list, by way of its blocks."""
+    return idx.unblocked_index(_blocked_index(spark, sf_dir))
+
+
+def inverted_index_blocks(spark, sf_dir):
+    joined = [F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("gaps", "tfs")]
+    return _blocked_index(spark, sf_dir).select("tok", "block_no", "n_docs", *joined)
+
+
+def inverted_index_nested(spark, sf_dir):
+    """Posting lists as maps from document to frequency, shown as JSON."""
+    return idx.nested_index(inverted_index(spark, sf_dir)).select("tok", F.to_json("postings").alias("postings"))
+
+
+def replaced_word_counts(spark, sf_dir):
+    """Word counts of the documents, replaced by their sum with those of the benchmark items.
+
+    The second job reads the output that it replaces.
+    """
+    path = new_path(spark, "counts")
+    write_delimited(word_count(spark, sf_dir), path)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").withColumnRenamed("item_id", "doc_id")
+    both = read_word_counts(spark, path).unionByName(index_jobs.word_counts(items))
+    write_delimited(both.groupBy("tok").agg(F.sum("n").alias("n")), path)
+    return read_word_counts(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "word_count": word_count,
@@ -208,6 +298,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "line_count": line_count,
         "prefix_postings": prefix_postings,
         "naive_similarity": naive_similarity,
+        "similar_groups_with_texts": similar_groups_with_texts,
         "prefix_similarity_08": prefix_similarity_08,
         "prefix_similarity_05": prefix_similarity_05,
         "similar_groups_08": similar_groups_08,
@@ -224,6 +315,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rendered_pairs": rendered_pairs,
         "rendered_pairs_in_parentheses": rendered_pairs_in_parentheses,
         "rendered_metrics": rendered_metrics,
+        "written_index_metrics": written_index_metrics,
+        "written_line_set_metrics": written_line_set_metrics,
+        "text_file_line_sets": text_file_line_sets,
+        "text_file_index": text_file_index,
+        "inverted_index_foreign_stop_list": inverted_index_foreign_stop_list,
+        "inverted_index_blocks": inverted_index_blocks,
+        "inverted_index_nested": inverted_index_nested,
+        "replaced_word_counts": replaced_word_counts,
         **(llm.queries() if llm else {}),
     }
 
@@ -239,19 +338,32 @@ alnum AS (
 ),
 alnum_counts AS (SELECT tok, count(*) AS n FROM alnum GROUP BY tok)"""
 
-_DELIM = r"""
-delim AS (
+
+
+def _delim_sql(name: str, doc_id: str = "doc_id", table: str = "documents") -> str:
+    return rf"""
+{name} AS (
   SELECT doc_id, tok
   FROM (
     SELECT doc_id, regexp_replace(raw, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS tok
     FROM (
-      SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[ .,?!"''()\[\]$*\-_;:|\r\n]')) AS raw
-      FROM documents
+      SELECT {doc_id} AS doc_id, unnest(regexp_split_to_array(lower(text), '[ .,?!"''()\[\]$*\-_;:|\r\n]')) AS raw
+      FROM {table}
     )
   )
   WHERE tok <> ''
 ),
-delim_counts AS (SELECT tok, count(*) AS n FROM delim GROUP BY tok)"""
+{name}_counts AS (SELECT tok, count(*) AS n FROM {name} GROUP BY tok)"""
+
+
+_DELIM = _delim_sql("delim")
+
+_FOREIGN_INDEX = f"""{_DELIM},{_delim_sql("item", "item_id", "benchmark")},
+frequencies AS (
+  SELECT tok, doc_id, count(*) AS tf FROM delim
+  WHERE tok NOT IN (SELECT tok FROM item_counts WHERE n > {BENCHMARK_MIN_COUNT})
+  GROUP BY tok, doc_id
+)"""
 
 _INDEX = f"""{_DELIM},
 frequencies AS (
@@ -353,7 +465,7 @@ FROM (SELECT tok FROM frequencies GROUP BY tok HAVING count(DISTINCT doc_id) = 1
         "lines": f"WITH {_LINES} SELECT doc_id, line_no, line FROM lines",
         "line_sets": f"WITH {_LINE_WORDS} SELECT doc_id, line_no, words FROM line_texts",
         "first_line_sets": f"""WITH {_LINE_WORDS}
-SELECT doc_id, line_no, words FROM line_texts ORDER BY doc_id, line_no LIMIT 5000""",
+SELECT doc_id, line_no, words FROM line_texts ORDER BY doc_id, line_no LIMIT {FIRST_LINES}""",
         "line_count": f"WITH {_LINE_WORDS} SELECT 'lines' AS metric, count(*) AS value FROM line_texts",
         "prefix_postings": f"""WITH {_LINE_WORDS},
 ranked AS (
@@ -362,7 +474,19 @@ ranked AS (
   FROM line_words
 )
 SELECT tok, doc_id, line_no FROM ranked WHERE place <= size - (size + 1) // 2 + 1""",
-        "naive_similarity": _groups_sql("08", texts=True),
+        "naive_similarity": f"""WITH {_LINE_WORDS},
+firsts AS (SELECT k, size, words FROM line_texts ORDER BY k LIMIT {FIRST_LINES}),
+shared AS (
+  SELECT a.k AS lo, b.k AS hi, count(*) AS inter
+  FROM line_words a JOIN line_words b ON a.tok = b.tok AND a.k < b.k
+  WHERE a.k IN (SELECT k FROM firsts) AND b.k IN (SELECT k FROM firsts)
+  GROUP BY a.k, b.k
+)
+SELECT s.lo, s.hi, CAST(s.inter AS DOUBLE) / CAST(a.size + b.size - s.inter AS DOUBLE) AS similarity,
+       a.words AS text_lo, b.words AS text_hi
+FROM shared s JOIN firsts a ON a.k = s.lo JOIN firsts b ON b.k = s.hi
+WHERE 5 * s.inter >= 4 * (a.size + b.size - s.inter)""",
+        "similar_groups_with_texts": _groups_sql("08", texts=True),
         "prefix_similarity_08": _links_sql("08"),
         "prefix_similarity_05": _links_sql("05"),
         "similar_groups_08": _groups_sql("08"),
@@ -396,5 +520,38 @@ SELECT 'comparisons' AS metric, CAST(sum(c * (c - 1) // 2) AS BIGINT) AS value F
         "rendered_pairs_in_parentheses": _rendered_pairs_sql("'(' || set_lo || ', ' || set_hi || ')'"),
         "rendered_metrics": f"""WITH {_INDEX}
 SELECT 'distinct_terms: ' || count(DISTINCT tok) AS value FROM frequencies""",
+        "written_index_metrics": f"""WITH {_INDEX},
+terms AS (SELECT tok, count(*) AS n FROM frequencies GROUP BY tok)
+SELECT 'distinct_terms' AS metric, count(*) AS value FROM terms
+UNION ALL SELECT 'single_document_terms', count(*) FROM terms WHERE n = 1
+UNION ALL SELECT 'postings', CAST(coalesce(sum(n), 0) AS BIGINT) FROM terms""",
+        "written_line_set_metrics": f"""WITH {_LINE_WORDS}
+SELECT 'lines' AS metric, count(*) AS value FROM line_texts
+UNION ALL SELECT 'words', CAST(coalesce(sum(size), 0) AS BIGINT) FROM line_texts""",
+        "text_file_line_sets": f"WITH {_LINE_WORDS} SELECT doc_id, line_no, words FROM line_texts",
+        "text_file_index": f"""WITH {_delim_sql("delim", "source")}
+SELECT d.tok, d.doc_id, count(*) AS tf
+FROM delim d JOIN delim_counts c ON d.tok = c.tok WHERE c.n <= {MIN_COUNT} GROUP BY d.tok, d.doc_id""",
+        "inverted_index_foreign_stop_list": f"WITH {_FOREIGN_INDEX} SELECT tok, doc_id, tf FROM frequencies",
+        "inverted_index_blocks": f"""WITH {_FOREIGN_INDEX},
+blocks AS (
+  SELECT tok, CAST(floor(doc_id / {BLOCK_DOCS}) AS BIGINT) AS block_no, doc_id, tf FROM frequencies
+),
+gaps AS (
+  SELECT tok, block_no, doc_id, tf,
+         doc_id - coalesce(lag(doc_id) OVER (PARTITION BY tok, block_no ORDER BY doc_id), block_no * {BLOCK_DOCS}) AS gap
+  FROM blocks
+)
+SELECT tok, block_no, CAST(count(*) AS INTEGER) AS n_docs,
+       string_agg(CAST(gap AS VARCHAR), ',' ORDER BY doc_id) AS gaps, string_agg(CAST(tf AS VARCHAR), ',' ORDER BY doc_id) AS tfs
+FROM gaps GROUP BY tok, block_no""",
+        "inverted_index_nested": f"""WITH {_INDEX}
+SELECT tok, chr(123) || string_agg('"' || doc_id || '":' || tf, ',' ORDER BY doc_id) || chr(125) AS postings
+FROM frequencies GROUP BY tok""",
+        "replaced_word_counts": f"""WITH {_ALNUM},
+item AS (
+  SELECT tok FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS tok FROM benchmark) WHERE tok <> ''
+)
+SELECT tok, count(*) AS n FROM (SELECT tok FROM alnum UNION ALL SELECT tok FROM item) GROUP BY tok""",
         **(llm.oracle_sql() if llm else {}),
     }

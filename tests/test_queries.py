@@ -19,7 +19,8 @@ pytestmark = pytest.mark.skipif(not SF.exists(), reason="test tables are not the
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     return con
 
 
@@ -48,7 +49,7 @@ def test_entry(spark):
     assert groups.agg(F.sum(pairs)).first()[0] == 1109
 
 
-@pytest.mark.parametrize("name", [n for n in OWN if n != "first_line_sets"])
+@pytest.mark.parametrize("name", OWN)
 def test_no_ordered_limit_in_a_plan(spark, name):
     plan = registry.queries()[name](spark, str(SF))._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" not in plan and "CartesianProduct" not in plan

@@ -19,19 +19,29 @@ LINES_PER_DOCUMENT = 1_000_000
 TOKENIZERS = ("alnum", "delim")
 
 
+def unstripped_words(text: Column | str, mode: str) -> Column:
+    """Lower-case tokens of a text as an array, each still to be :func:`stripped`."""
+    if mode not in TOKENIZERS:
+        raise ValueError(f"unknown tokenizer {mode!r}, expected one of {TOKENIZERS}")
+    return F.split(F.lower(text), _NOT_ALNUM_RUN if mode == "alnum" else _DELIM_RUN)
+
+
+def stripped(word: Column | str, mode: str) -> Column:
+    """A token without the blanks that its tokenizer strips; the result may be empty.
+
+    Stripped after the split: one pass over a text, whatever runs of blanks it holds.
+    """
+    return F.btrim(word, F.lit(BLANKS)) if mode == "delim" else F.col(word) if isinstance(word, str) else word
+
+
 def words(text: Column | str, mode: str) -> Column:
     """Lower-case tokens of a text as an array; may hold empty strings.
 
     ``delim`` splits on the fixed delimiters and line ends and strips blanks from
     each token; ``alnum`` splits on everything but ``a-z`` and ``0-9``.
     """
-    lowered = F.lower(text)
-    if mode == "alnum":
-        return F.split(lowered, _NOT_ALNUM_RUN)
-    if mode == "delim":
-        # Stripped after the split: one pass over a text, whatever runs of blanks it holds.
-        return F.transform(F.split(lowered, _DELIM_RUN), lambda w: F.btrim(w, F.lit(BLANKS)))
-    raise ValueError(f"unknown tokenizer {mode!r}, expected one of {TOKENIZERS}")
+    split = unstripped_words(text, mode)
+    return split if mode == "alnum" else F.transform(split, lambda w: stripped(w, mode))
 
 
 def text_lines(text: str) -> Column:

@@ -1,11 +1,14 @@
-"""Inverted index: flat, nested, rendered and boolean."""
+"""Inverted index: flat, nested, rendered, boolean and in blocks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordweave.operators.tokens import without_hottest
+from wordweave.shared import split_words
+
+# Documents that a block of a posting list spans.
+BLOCK_DOCS = 4096
 
 
 def term_frequencies(tokens: DataFrame) -> DataFrame:
@@ -16,16 +19,46 @@ def term_frequencies(tokens: DataFrame) -> DataFrame:
 def inverted_index(tokens: DataFrame, stop_list: DataFrame) -> DataFrame:
     """Term frequencies without the terms of a ``(tok, n)`` stop list.
 
-    The list's hottest words are dropped first and its tail after the aggregation, where
-    a word is one row per document and not one row per occurrence.
+    The list's hottest words are dropped first and its tail, if there is any, after the
+    aggregation, where a word is one row per document and not one row per occurrence.
     """
-    frequencies = term_frequencies(without_hottest(tokens, stop_list))
-    return frequencies.join(stop_list.select("tok"), "tok", "left_anti")
+    hot, rest = split_words(stop_list)
+    frequencies = term_frequencies(tokens.join(F.broadcast(hot), "tok", "left_anti"))
+    return frequencies if rest is None else frequencies.join(rest, "tok", "left_anti")
+
+
+def _block_no(block_docs: int) -> str:
+    """The whole part of ``doc_id / block_docs``, rounded down."""
+    return f"if(doc_id < 0, (doc_id + 1) div {block_docs} - 1, doc_id div {block_docs})"
+
+
+def blocked_index(index: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """``(tok, block_no, n_docs, gaps, tfs)``: posting lists cut at every ``block_docs`` document ids.
+
+    A row holds at most ``block_docs`` postings, also of a term that is in every
+    document, so the stop list may come from anywhere.  ``gaps`` are the distances from one
+    document to the next, from the block's start on: small numbers, which Parquet packs
+    into few bits.  Ids have to be integers; the denser, the longer the lists.
+    """
+    lists = index.groupBy("tok", F.expr(_block_no(block_docs)).alias("block_no")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("list")
+    )
+    start = F.col("block_no") * block_docs
+    gaps = F.transform("list", lambda p, i: (p["doc_id"] - F.when(i == 0, start).otherwise(F.get("list", i - 1)["doc_id"])).cast("int"))
+    return lists.select("tok", "block_no", F.size("list").alias("n_docs"), gaps.alias("gaps"), F.col("list.tf").alias("tfs"))
+
+
+def unblocked_index(blocked: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """:func:`blocked_index` back to ``(tok, doc_id, tf)``; blocks decode one by one."""
+    entries = blocked.select("tok", "block_no", F.posexplode(F.arrays_zip("gaps", "tfs")).alias("pos", "entry"))
+    so_far = Window.partitionBy("tok", "block_no").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    doc_id = F.col("block_no") * block_docs + F.sum("entry.gaps").over(so_far)
+    return entries.select("tok", doc_id.alias("doc_id"), F.col("entry.tfs").alias("tf"))
 
 
 # The forms below hold all postings of a term in one row.  With a stop list from the
 # same corpus a term that is left has at most ``min_count`` occurrences, which bounds
-# the row; for any other list use the flat form.
+# the row; for any other list use the flat form or blocks.
 
 
 def _postings(index: DataFrame, *fields: str) -> DataFrame:
@@ -37,10 +70,14 @@ def nested_index(index: DataFrame) -> DataFrame:
     return _postings(index, "doc_id", "tf").select("tok", F.map_from_entries("list").alias("postings"))
 
 
-def rendered_index(index: DataFrame) -> DataFrame:
-    """``(tok, postings)`` with postings as ``doc#tf, doc#tf`` in document order."""
+def rendered_index(index: DataFrame, n_docs: str | None = None) -> DataFrame:
+    """``(tok, postings)`` with postings as ``doc#tf, doc#tf`` in document order.
+
+    With ``n_docs`` the number of documents follows under that name.
+    """
     entries = F.transform("list", lambda p: F.concat_ws("#", p["doc_id"].cast("string"), p["tf"].cast("string")))
-    return _postings(index, "doc_id", "tf").select("tok", F.array_join(entries, ", ").alias("postings"))
+    count = [F.size("list").alias(n_docs)] if n_docs else []
+    return _postings(index, "doc_id", "tf").select("tok", F.array_join(entries, ", ").alias("postings"), *count)
 
 
 def boolean_index(index: DataFrame) -> DataFrame:

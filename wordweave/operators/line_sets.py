@@ -10,6 +10,12 @@ from wordweave.operators.terms import metric
 from wordweave.operators.tokens import without_hottest
 from wordweave.shared import save
 
+# Counts of a range of keys that the driver looks at in one pass.
+CUT_BINS = 4096
+
+# Keys of first lines that are broadcast at most.
+MAX_BROADCAST_KEYS = 100_000
+
 
 def vocabulary(counts: DataFrame) -> DataFrame:
     """``(tok, n, word_id)`` with ids in the global order (count, word).
@@ -50,14 +56,54 @@ def line_id_sets(rare_words: DataFrame) -> DataFrame:
     return rare_words.groupBy("key").agg(F.sort_array(F.collect_list("word_id")).alias("ids"))
 
 
-def rendered_line_sets(sets: DataFrame) -> DataFrame:
-    """``(key, words)`` with the words joined by spaces."""
-    return sets.select("key", F.array_join("toks", " ").alias("words"))
+def rendered_line_sets(sets: DataFrame, *further: str) -> DataFrame:
+    """``(key, words)`` with the words joined by spaces, and further columns."""
+    return sets.select("key", F.array_join("toks", " ").alias("words"), *further)
+
+
+def key_cut(keys: DataFrame, limit: int) -> int | None:
+    """The ``limit``-th smallest bigint ``key``, or None if there are not more keys than that.
+
+    The range of keys is cut into bins that are counted in one aggregate; the bin that
+    holds the place is cut again, until it is one key.  No row is ordered or moved, and
+    the driver sees ``CUT_BINS`` counts a pass at most.  Keys are unique.
+    """
+    n, low, high = keys.agg(F.count("*"), F.min("key"), F.max("key")).first()
+    if n <= limit:
+        return None
+    before = 0
+    while low < high:
+        width = (high - low) // (CUT_BINS - 1) + 1
+        in_range = keys.where(F.col("key").between(low, high))
+        bin_no = F.expr(f"if(key < 0, (key + 1) div {width} - 1, key div {width})")
+        counts = sorted(in_range.groupBy(bin_no.alias("bin_no")).count().collect())
+        for bin_no, count in counts:
+            if before + count >= limit:
+                break
+            before += count
+        low, high = max(low, bin_no * width), min(high, (bin_no + 1) * width - 1)
+    return low
+
+
+def first_keys(keys: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` of the ``key`` rows in order, without an ordered limit.
+
+    Keys that are no integers get numbers in their order first.
+    """
+    if limit < 1:
+        return keys.where(F.lit(False))
+    if keys.schema["key"].dataType.typeName() == "long":
+        cut = key_cut(keys, limit)
+        return keys if cut is None else keys.where(F.col("key") <= cut)
+    ordered = keys.repartitionByRange("key").sortWithinPartitions("key")
+    numbered = save(ordered.select(F.col("key").alias("name"), F.monotonically_increasing_id().alias("key")), "key-order")
+    return first_keys(numbered, limit).select(F.col("name").alias("key"))
 
 
 def first_lines(sets: DataFrame, limit: int = 5000) -> DataFrame:
-    """The first ``limit`` line sets in key order."""
-    return sets.orderBy("key").limit(limit)
+    """The first ``limit`` line sets in key order; ``sets`` is read twice and better a saved table."""
+    firsts = first_keys(sets.select("key"), limit)
+    return sets.join(F.broadcast(firsts) if limit <= MAX_BROADCAST_KEYS else firsts, "key", "left_semi")
 
 
 def line_count(lines: DataFrame) -> DataFrame:

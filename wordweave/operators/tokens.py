@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordweave.functions.text import line_key, text_lines, words
-from wordweave.shared import hottest_words
+from wordweave.functions.text import line_key, stripped, text_lines, unstripped_words, words
+from wordweave.shared import hottest_words, split_words
 
 
 def tokens(documents: DataFrame, mode: str) -> DataFrame:
     """``(doc_id, text)`` or ``(doc_id, line)`` to ``(doc_id, tok)``, one row per occurrence."""
     text = "text" if "text" in documents.columns else "line"
-    exploded = documents.select("doc_id", F.explode(words(text, mode)).alias("tok"))
-    return exploded.where(F.col("tok") != "")
+    exploded = documents.select("doc_id", F.explode(unstripped_words(text, mode)).alias("tok"))
+    return exploded.withColumn("tok", stripped("tok", mode)).where(F.col("tok") != "")
 
 
 def lines(documents: DataFrame) -> DataFrame:
@@ -55,7 +55,9 @@ def without_hottest(stream: DataFrame, word_list: DataFrame) -> DataFrame:
 def without_words(stream: DataFrame, word_list: DataFrame) -> DataFrame:
     """Drop the rows of a ``tok`` stream whose word is in a ``(tok, n)`` list.
 
-    The list's hottest words go by a bounded broadcast and the rest by an anti-join,
-    which no hot word reaches any more.
+    The list's hottest words go by a bounded broadcast and the rest, if there is any, by
+    an anti-join that no hot word reaches any more.
     """
-    return without_hottest(stream, word_list).join(word_list.select("tok"), "tok", "left_anti")
+    hot, rest = split_words(word_list)
+    left = stream.join(F.broadcast(hot), "tok", "left_anti")
+    return left if rest is None else left.join(rest, "tok", "left_anti")

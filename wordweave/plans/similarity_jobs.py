@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from wordweave.functions.text import LINES_PER_DOCUMENT
 from wordweave.functions.threshold import Threshold
+from wordweave.operators import all_pairs
 from wordweave.operators import line_sets as ls
 from wordweave.operators import similarity as sim
 from wordweave.operators.tokens import keyed_lines, line_words
 from wordweave.plans.index_jobs import word_counts
-from wordweave.shared import save
+from wordweave.shared import save, save_bucketed
 
 
 @dataclass(frozen=True)
@@ -51,10 +52,40 @@ def line_sets(documents: DataFrame, max_count: int = 4000) -> DataFrame:
     return ls.line_sets(rare_lines(documents, max_count).words)
 
 
+def first_rare_lines(documents: DataFrame, limit: int, max_count: int = 4000) -> RareLines:
+    """:func:`rare_lines` of the first ``limit`` lines that keep a word; counts are of the whole corpus.
+
+    The keys alone find the cut, so the words of later lines are never put into sets.
+    """
+    vocab = ls.vocabulary(word_counts(documents))
+    keyed = keyed_lines(documents)
+    keys = save(ls.lines_with_rare_words(line_words(keyed), vocab, max_count), "line-keys")
+    firsts = ls.first_keys(keys, limit)
+    first_lines = keyed.join(F.broadcast(firsts) if limit <= ls.MAX_BROADCAST_KEYS else firsts, "key", "left_semi")
+    return RareLines(ls.rare_line_words(line_words(first_lines), vocab, max_count), vocab, max_count)
+
+
+def first_line_sets(documents: DataFrame, limit: int, max_count: int = 4000) -> DataFrame:
+    """``(key, toks)`` of the first ``limit`` lines in key order that have a line set."""
+    return ls.line_sets(first_rare_lines(documents, limit, max_count).words)
+
+
+def first_line_pairs(documents: DataFrame, threshold: Threshold, limit: int, max_count: int = 4000) -> DataFrame:
+    """``(lo, hi, similarity, text_lo, text_hi)`` by comparing all pairs of the first ``limit`` lines."""
+    rare = first_rare_lines(documents, limit, max_count)
+    id_sets = save(ls.line_id_sets(rare.words), "first-lines")
+    pairs = save(all_pairs.similar_pairs(id_sets, threshold, id_sets.count()), "first-pairs")
+    texts = sim.set_texts(id_sets.withColumnRenamed("key", "set_id"), rare.vocab)
+    for side in ("lo", "hi"):
+        pairs = pairs.join(texts.withColumnsRenamed({"set_id": side, "text": f"text_{side}"}), side)
+    return pairs.select("lo", "hi", "similarity", "text_lo", "text_hi")
+
+
 def collapsed_line_sets(documents: DataFrame, max_count: int = 4000) -> LineSets:
     rare = rare_lines(documents, max_count)
     id_sets = save(ls.line_id_sets(rare.words), "line-sets")
-    sets = save(sim.distinct_sets(id_sets), "sets")
+    # Looked up by id again and again, so its rows stay in their buckets.
+    sets = save_bucketed(sim.distinct_sets(id_sets), "sets", "set_id")
     return LineSets(sets, sim.set_members(id_sets, sets), rare)
 
 

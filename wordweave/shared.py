@@ -14,6 +14,7 @@ MAX_BROADCAST_WORDS = 100_000
 MAX_BROADCAST_CHARS = 64
 
 _local_folder: tempfile.TemporaryDirectory | None = None
+_bucketed: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,6 +38,11 @@ def _session_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/wordweave/{spark.sparkContext.applicationId}"
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of its own in the shared folder, removed with the application's tables."""
+    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def save(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as a scan.
 
@@ -45,17 +51,35 @@ def save(df: DataFrame, label: str) -> DataFrame:
     chooses between a broadcast and a shuffled join.
     """
     spark = df.sparkSession
-    path = f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_saved_tables(spark: SparkSession) -> None:
     """Remove the tables this application saved; results that scan them end with it."""
+    while _bucketed:
+        spark.sql(f"DROP TABLE IF EXISTS {_bucketed.pop()}")
     folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def save_bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
+    """Like :func:`save`, in buckets by ``key``: joins and groupings on it shuffle no row of the table.
+
+    There are as many buckets as shuffle partitions, so that the other side of a join
+    goes to the buckets and not both sides to somewhere else.
+    """
+    spark = df.sparkSession
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    # Dealt by the same hash as the buckets, so each is one file.
+    dealt = df.repartition(n_buckets, key).write.bucketBy(n_buckets, key).sortBy(key)
+    dealt.option("path", f"{_session_folder(spark)}/{name}").saveAsTable(name)
+    _bucketed.append(name)
+    return spark.table(name)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core after a scan whose splits leave half of them idle.
 
@@ -72,7 +96,17 @@ def hot_share(n: str, total: int | None, at_most: int) -> Column:
     return F.col(n) >= max(1, -(-(total or 0) // at_most)) if at_most else F.lit(False)
 
 
+def split_words(words: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The most frequent words of a ``(tok, n)`` table and the rest of it, or None if nothing is left.
+
+    The first part is bounded for a broadcast without an order or a limit.
+    """
+    total, least, longest = words.agg(F.sum("n"), F.min("n"), F.max(F.length("tok"))).first()
+    hot = hot_share("n", total, MAX_BROADCAST_WORDS) & (F.length("tok") <= MAX_BROADCAST_CHARS)
+    all_hot = total is None or least * MAX_BROADCAST_WORDS >= max(total, 1) and longest <= MAX_BROADCAST_CHARS
+    return words.where(hot).select("tok"), None if all_hot else words.where(~hot).select("tok")
+
+
 def hottest_words(words: DataFrame) -> DataFrame:
-    """The most frequent words of a ``(tok, n)`` table, bounded for a broadcast without an order or a limit."""
-    total = words.agg(F.sum("n")).first()[0]
-    return words.where(hot_share("n", total, MAX_BROADCAST_WORDS) & (F.length("tok") <= MAX_BROADCAST_CHARS)).select("tok")
+    """The first part of :func:`split_words`."""
+    return split_words(words)[0]

@@ -1,10 +1,12 @@
-"""Delimited text output; every writer replaces what the path held."""
+"""Delimited text output; every writer replaces what the path held once the new output is whole."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordweave.sinks.replace import replacing
+
 # Separators of the text layouts.
 COUNT_SEPARATOR = ", "
 INDEX_SEPARATOR = " : "
@@ -18,13 +20,18 @@ def render_delimited(df: DataFrame, separator: str = COUNT_SEPARATOR) -> DataFra
 
 def write_delimited(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR) -> None:
     """Write the columns of ``df``, in order, joined by ``separator``."""
-    render_delimited(df, separator).write.mode("overwrite").text(path)
+    _replace(render_delimited(df, separator), path)
+
+
+def _replace(rows: DataFrame, path: str) -> None:
+    with replacing(rows.sparkSession, path) as aside:
+        rows.write.text(aside)
 
 
 def write_report(df: DataFrame, path: str, separator: str = COUNT_SEPARATOR, one_file: bool = False) -> None:
     """Like :func:`write_delimited`; with ``one_file`` all rows go through one task."""
     rows = render_delimited(df, separator)
-    (rows.coalesce(1) if one_file else rows).write.mode("overwrite").text(path)
+    _replace(rows.coalesce(1) if one_file else rows, path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
@@ -45,4 +52,4 @@ def render_pairs(pairs: DataFrame, in_parentheses: bool = False) -> DataFrame:
 
 def write_pairs(pairs: DataFrame, path: str, in_parentheses: bool = False) -> None:
     """Write similar pairs with their score and both texts."""
-    render_pairs(pairs, in_parentheses).write.mode("overwrite").text(path)
+    _replace(render_pairs(pairs, in_parentheses), path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wordweave.functions.text import line_key
 from wordweave.shared import save, spread
 
 
@@ -51,3 +52,28 @@ def text_documents(spark: SparkSession, path: str) -> DataFrame:
     """A folder of text files, one row per file, for numbering the lines of each file."""
     files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("text"))
+
+
+def text_lines_by_folder(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """``(doc_id, line)`` of text files in folders named ``by=value``; the value is the document.
+
+    Files of any size are split between tasks.  For counting words and for an index.
+    """
+    rows = spark.read.schema(f"value string, `{by}` string").text(path)
+    return rows.select(F.col(by).alias("doc_id"), F.col("value").alias("line"))
+
+
+def packed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, line_no, key, line)`` of :func:`wordweave.sinks.corpus.write_packed_documents`.
+
+    Large files are split between tasks.  A line's place in its file says which document
+    it is of; ``key`` packs document and line.
+    """
+    in_files = numbered_text_lines(spark, f"{path}/lines").select(
+        F.regexp_extract("doc_id", r"/file_no=(\d+)/", 1).cast("bigint").alias("file_no"), F.col("line_no").alias("place"), "line"
+    )
+    places = spark.read.parquet(f"{path}/places")
+    each = places.select("file_no", "doc_id", "first_line", F.explode(F.expr("sequence(0L, n_lines - 1)")).alias("line_no"))
+    each = each.select("file_no", "doc_id", F.col("line_no").cast("int").alias("line_no"), (F.col("first_line") + F.col("line_no")).alias("place"))
+    found = in_files.join(each, ["file_no", "place"])
+    return found.select("doc_id", "line_no", line_key(F.col("doc_id"), F.col("line_no")).alias("key"), "line")

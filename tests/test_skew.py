@@ -1,7 +1,9 @@
 """Hot words and hot texts do not end up in one task."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from wordweave.operators import inverted_index as idx
 from wordweave.operators import line_sets as ls
 from wordweave.operators import similarity as sim
 from wordweave.operators.terms import word_count
@@ -50,3 +52,13 @@ def test_copies_of_one_text_are_not_shuffled_by_text(spark, small_skew):
     assert "BroadcastHashJoin [ids" in plan and "LeftAnti" in plan
     assert members.where("n_lines = 3000").count() == 3000
     assert members.where("set_id = 0").count() == 3000
+
+
+def test_a_term_in_every_document_is_many_blocks(spark, small_skew):
+    index = spark.range(50_000).selectExpr("if(id % 2 = 0, 'hot', concat('w', id)) as tok", "id div 2 as doc_id", "1L as tf")
+    blocked = idx.blocked_index(index, block_docs=512)
+    sizes = [r["n_docs"] for r in blocked.where("tok = 'hot'").collect()]
+    assert sum(sizes) == 25_000 and max(sizes) <= 512
+    # Blocks of one term are dealt to all partitions.
+    spread = blocked.where("tok = 'hot'").select(F.spark_partition_id().alias("part")).distinct().count()
+    assert spread > 1

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordweave.shared import split_words
+from wordweave.operators.terms import stop_words
+from wordweave.operators.tokens import without_words
+from wordweave.shared import save, split_words
 
 # Documents that a block of a posting list spans.
 BLOCK_DOCS = 4096
@@ -27,6 +29,16 @@ def inverted_index(tokens: DataFrame, stop_list: DataFrame) -> DataFrame:
     return frequencies if rest is None else frequencies.join(rest, "tok", "left_anti")
 
 
+def without_frequent_terms(frequencies: DataFrame, min_count: int) -> DataFrame:
+    """Term frequencies without the terms of more than ``min_count`` occurrences in all documents.
+
+    The list comes from the frequencies themselves, so the texts are taken apart once.
+    ``frequencies`` is read twice and better a saved table.
+    """
+    counts = frequencies.groupBy("tok").agg(F.sum("tf").alias("n"))
+    return without_words(frequencies, save(stop_words(counts, min_count), "stop-words"))
+
+
 def _block_no(block_docs: int) -> str:
     """The whole part of ``doc_id / block_docs``, rounded down."""
     return f"if(doc_id < 0, (doc_id + 1) div {block_docs} - 1, doc_id div {block_docs})"
@@ -75,9 +87,10 @@ def rendered_index(index: DataFrame, n_docs: str | None = None) -> DataFrame:
 
     With ``n_docs`` the number of documents follows under that name.
     """
-    entries = F.transform("list", lambda p: F.concat_ws("#", p["doc_id"].cast("string"), p["tf"].cast("string")))
+    entry = F.concat_ws("#", F.col("doc_id").cast("string"), F.col("tf").cast("string"))
     count = [F.size("list").alias(n_docs)] if n_docs else []
-    return _postings(index, "doc_id", "tf").select("tok", F.array_join(entries, ", ").alias("postings"), *count)
+    lists = _postings(index.select("tok", "doc_id", entry.alias("entry")), "doc_id", "entry")
+    return lists.select("tok", F.array_join("list.entry", ", ").alias("postings"), *count)
 
 
 def boolean_index(index: DataFrame) -> DataFrame:
@@ -87,5 +100,5 @@ def boolean_index(index: DataFrame) -> DataFrame:
 
 def rendered_boolean_index(index: DataFrame) -> DataFrame:
     """``(tok, docs)`` with the documents as ``doc, doc``."""
-    docs = F.transform("docs", lambda d: d.cast("string"))
+    docs = F.col("docs").cast("array<string>")
     return boolean_index(index).select("tok", F.array_join(docs, ", ").alias("docs"))

@@ -10,7 +10,7 @@ from wordweave.operators.terms import metric
 from wordweave.operators.tokens import without_hottest
 from wordweave.shared import save
 
-# Counts of a range of keys that the driver looks at in one pass.
+# Counts of a range of keys that the driver looks at in one pass, at least 3.
 CUT_BINS = 4096
 
 # Keys of first lines that are broadcast at most.

@@ -19,19 +19,16 @@ def stop_words(documents: DataFrame, min_count: int = 4000) -> DataFrame:
     return terms.stop_words(word_counts(documents, "delim"), min_count)
 
 
-def saved_stop_words(documents: DataFrame, min_count: int = 4000) -> DataFrame:
-    """The stop words as a table, because its users scan it more than once."""
-    return save(stop_words(documents, min_count), "stop-words")
-
-
 def tokens_per_document(documents: DataFrame, min_count: int = 4000) -> DataFrame:
-    """``(doc_id, n_tokens)`` without stop words."""
-    kept = without_words(tokens(documents, "delim"), saved_stop_words(documents, min_count))
+    """``(doc_id, n_tokens)`` without stop words; the list is written once, as it is scanned more than once."""
+    kept = without_words(tokens(documents, "delim"), save(stop_words(documents, min_count), "stop-words"))
     return kept.groupBy("doc_id").agg(F.count("*").alias("n_tokens"))
 
 
 def inverted_index(documents: DataFrame, min_count: int = 4000) -> DataFrame:
-    return idx.inverted_index(tokens(documents, "delim"), saved_stop_words(documents, min_count))
+    """``(tok, doc_id, tf)`` without stop words; the texts are read and taken apart once."""
+    frequencies = save(idx.term_frequencies(tokens(documents, "delim")), "term-frequencies")
+    return idx.without_frequent_terms(frequencies, min_count)
 
 
 def term_statistics(documents: DataFrame, min_count: int = 4000) -> DataFrame:

@@ -27,7 +27,7 @@ def tokens_per_document(documents: DataFrame, min_count: int = 4000) -> DataFram
 
 def inverted_index(documents: DataFrame, min_count: int = 4000) -> DataFrame:
     """``(tok, doc_id, tf)`` without stop words; the texts are read and taken apart once."""
-    frequencies = save(idx.term_frequencies(tokens(documents, "delim")), "term-frequencies")
+    frequencies = save(idx.term_frequencies(tokens(documents, "delim")), "term-frequencies", "zstd")
     return idx.without_frequent_terms(frequencies, min_count)
 
 

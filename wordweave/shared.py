@@ -43,16 +43,17 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, label: str) -> DataFrame:
+def save(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as a scan.
 
     The copy cuts the lineage, so a lost executor costs a re-read and not a
     recomputation, and the optimizer sees the true size of the table when it
-    chooses between a broadcast and a shuffled join.
+    chooses between a broadcast and a shuffled join.  Without ``compression`` the
+    session's codec is used.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

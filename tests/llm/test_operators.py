@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.conftest import TESTDATA
-from wordweave.llm import decontaminate, exact_dedup, language_model, minhash, mixing, queries, repeats, secrets, sharding
+from wordweave.llm import decontaminate, exact_dedup, language_model, minhash, mixing, queries, repeats, secrets, sharding, toxicity
 
 SF = TESTDATA / "sf0.01"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, bucket string"
@@ -249,3 +249,60 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, str(TESTDATA / "sf0.001"))
     assert rows.where("shard < 0 or shard > 39").isEmpty() and 0 < rows.count()
     assert rows.groupBy("shard").agg(F.max("slot").alias("m"), F.count("*").alias("n")).where("n <> m + 1").isEmpty()
+
+
+CLASHING = ["start", "repeats", "filled", "mix_size", "mix_h", "mix_copy", "bucket_no", "row_hash", "place_no", "shard_no", "gone_id", "gone_hash"]
+CLASHING += ["hit_id", "hit_hash", "tox_score", "pattern_id", "n", "size", "label", "bucket", "component", "left", "h"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Null and empty texts, repeated rows and ids, near copies, and a column of every helper's name."""
+    body = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, body, "a"), (1, body, "a"), (2, body + " more", "b"), (None, body + " else", None), (None, "x y", "a"), (None, None, "b")]
+    rows += [(4, "", "a"), (5, "Hi there " * 3000, "a"), (4, "", "a")]
+    docs = spark.createDataFrame([(*r, "en", 1) for r in rows], "doc_id long, text string, source string, lang string, n_chars long")
+    return docs.select("*", *[F.lit(f"own {c}").alias(c) for c in CLASHING])
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_keep_clashing_columns(spark, clashing, empty):
+    docs = clashing.limit(0) if empty else clashing
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    model = toxicity.Model(["word"], [0.0] * (len(toxicity.FEATURES) + 1))
+    stages = {
+        "toxic": toxicity.without_toxic(docs, model, 0.9),
+        "near": minhash.without_near_duplicates(docs, 5),
+        "leaks": decontaminate.without_contaminated(docs, items),
+        "mix": mixing.repeated(mixing.mix(docs, mixing.own_source()), docs.columns[:5] + ["start", "hit_id"]),
+    }
+    for name, rows in stages.items():
+        assert rows.columns[:5] == docs.columns[:5], name
+        found = rows.collect()
+        assert all(r["start"] == "own start" and r["hit_id"] == "own hit_id" for r in found)
+        assert len(found) == {"toxic": 9, "near": 7, "leaks": 9}.get(name, len(found)) * (not empty)
+    assert toxicity.score(docs, model).columns.count("tox_score") == 1
+    shuffled = sharding.with_slots(sharding.shuffle_buckets(sharding.scatter(docs, 4)))
+    assert {"row_hash", "start"} <= set(shuffled.columns) and shuffled.columns.count("place_no") == 1
+    assert shuffled.count() == docs.count()
+
+
+def test_one_document_stays_where_ids_are_null_or_repeated(spark):
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, body + " a"), (None, body + " b"), (3, body[::-1] + " a"), (3, body[::-1] + " b"), (3, body[::-1] + " b"), (5, "x")]
+    kept = minhash.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r["doc_id"] is None for r in kept) == 1
+    assert len({r["text"] for r in kept if r["doc_id"] == 3}) == 1 and sum(r["doc_id"] == 5 for r in kept) == 1
+
+
+def test_bucket_of_many_that_are_not_similar(spark):
+    """300 documents of one passage and words of their own, in similarities from 0.2 to 0.9."""
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(120)]
+    texts = []
+    for i in range(300):
+        own = [f"d{i}x{k}" for k in range(rng.choice([4, 10, 14, 20, 40, 90]))]
+        texts.append(" ".join(passage + own) if i % 7 else " ".join(passage + own[:5] + [f"t{i // 14}x{k}" for k in range(20)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
+    assert found == dict(enumerate(_linked(texts, 2, 80)))

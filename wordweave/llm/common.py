@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # What separates words.  ``bytes.split`` splits on exactly these bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Rows of an Arrow batch that are Python objects at a time.
+SLICE = 128
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -25,6 +28,19 @@ def utf8(column: str = "text") -> Column:
     return text_or_empty(column).cast("binary")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_names(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less its columns of these names, which the caller adds anew."""
+    return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in names])
+
+
 def fold(parts: int) -> Column:
     """``crc32`` of the decimal ``doc_id``, modulo ``parts``; a null id is in fold 0."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts, F.lit(0)).cast("int")
@@ -44,12 +60,13 @@ def map_rows(df: DataFrame, schema: str, start: Callable[[], Callable[[dict], It
         rows: list[tuple] = []
         for batch in batches:
             names = batch.schema.names
-            columns = [c.to_pylist() for c in batch.columns]
-            for values in zip(*columns, strict=True):
-                rows.extend(one(dict(zip(names, values, strict=True))))
-                if len(rows) >= 4096:
-                    yield _batch(rows, target)
-                    rows = []
+            for at in range(0, batch.num_rows, SLICE):
+                columns = [c.to_pylist() for c in batch.slice(at, SLICE).columns]
+                for values in zip(*columns, strict=True):
+                    rows.extend(one(dict(zip(names, values, strict=True))))
+                    if len(rows) >= 4096:
+                        yield _batch(rows, target)
+                        rows = []
         finish = getattr(one, "finish", None)
         if finish is not None:
             rows.extend(finish())

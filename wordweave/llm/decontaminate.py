@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wordweave.llm.common import free_name
 from wordweave.shared import save
 
 WINDOW = 5
@@ -221,10 +222,11 @@ def _slots(places: DataFrame, covered: DataFrame, wanted: DataFrame, items: Data
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that no benchmark item contaminates."""
+    """The rows of ``docs``, all columns of any name, that no benchmark item contaminates."""
     hit = save(contaminated(docs, benchmark).select("doc_id", "text_hash").distinct(), "contaminated")
-    hit = hit.withColumnsRenamed({"doc_id": "hit_id", "text_hash": "hit_hash"})
-    same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(docs["text"]) == F.col("hit_hash"))
+    hit_id, hit_hash = (free_name(docs, name) for name in ("hit_id", "hit_hash"))
+    hit = hit.withColumnsRenamed({"doc_id": hit_id, "text_hash": hit_hash})
+    same = docs["doc_id"].eqNullSafe(F.col(hit_id)) & (F.xxhash64(docs["text"]) == F.col(hit_hash))
     return docs.join(hit, same, "left_anti")
 
 

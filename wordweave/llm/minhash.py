@@ -7,10 +7,12 @@ A bucket does not emit its pairs but a star: its members against two centres, th
 that shares buckets with the most others and the one with the least hash.  Stars are
 confirmed on the full sets and connected.  Where members of one bucket are in different
 components still, the members that were no centre form new stars, until none are left: so
-every pair of a bucket is either compared or known to be connected.
+every pair of a bucket is either compared or known to be connected.  Pairs are compared
+by their sketches first, eight bits of every bin; texts are only fetched for those whose
+sketches agree in nearly as many bins as the threshold asks for.
 
-A near-duplicate pair is missed by all buckets with probability below 1e-7 at the
-threshold; no other link is lost.
+A near-duplicate pair at the threshold is missed by all buckets with probability 3e-6, and
+by the sketches where they err by six standard deviations; no other link is lost.
 
 Null and empty texts have empty sets and link to nothing; a text of fewer than ``size``
 words has its whole sequence as its only shingle.  Rows with equal ids are documents of
@@ -20,31 +22,37 @@ their own.  A null ``doc_id`` is never the smallest of a component.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordweave.llm.common import map_rows, utf8
+from wordweave.llm.common import free_name, map_rows, utf8
 from wordweave.llm.components import components
 from wordweave.shared import save
 
-BANDS = 32
-ROWS = 4
-BINS = BANDS * ROWS
+BANDS = 42
+ROWS = 6
+# A power of two; the bins beyond the bands serve the sketch alone.
+BINS = 256
 SEED = 1
+DEVIATIONS = 6
+# Hashes of confirmed classes that a task remembers.
+REMEMBERED = 8 << 20
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
     orders = np.stack([rng.permutation(BINS) for _ in range(BINS)])
-    factors = rng.integers(1, 2**63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
+    marks = rng.integers(1, 2**63, BINS, dtype=np.uint64)
     starts = (np.arange(BINS, dtype=np.uint64) << np.uint64(32)) * np.uint64(2**32 // BINS)
-    return orders, factors, starts
+    return orders, marks, starts
 
 
-ORDERS, FACTORS, STARTS = _tables()
+ORDERS, MARKS, STARTS = _tables()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -89,16 +97,22 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return values
 
 
-def buckets(hashes: np.ndarray) -> list[int]:
-    """A bucket per band as a signed 64-bit number."""
-    if not len(hashes):
-        return []
-    rows = (mixed(signature(hashes)).reshape(BANDS, ROWS) * FACTORS).sum(1, dtype=np.uint64)
-    return mixed(rows + np.arange(BANDS, dtype=np.uint64)).view(np.int64).tolist()
+def sketch(hashes: np.ndarray) -> bytes | None:
+    """Eight bits of every bin; ``ROWS`` bytes after the other are a bucket's key.
+
+    The bits depend on the bin, so what densification copies agrees no more often by chance.
+    """
+    return mixed(signature(hashes) ^ MARKS).view(np.uint8)[::8].tobytes() if len(hashes) else None
+
+
+def least_agreement(threshold: int) -> int:
+    """Bins in which the sketches of two sets at the threshold agree, less ``DEVIATIONS`` standard deviations."""
+    share = threshold / 100
+    return int(BINS * share - DEVIATIONS * (BINS * share * (1 - share)) ** 0.5)
 
 
 def fingerprints(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, text_hash, class, n_shingles, buckets)``; ``class`` is null for empty sets."""
+    """``(doc_id, text_hash, class, n_shingles, sketch)``; ``class`` is null for empty sets."""
 
     def start():
         shingler = Shingler(size)
@@ -107,19 +121,22 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
             words = row["raw"].lower().split()
             hashes = shingler.hashes(words)
             same = hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
-            return [(row["doc_id"], row["text_hash"], same, len(hashes), buckets(hashes))]
+            return [(row["doc_id"], row["text_hash"], same, len(hashes), sketch(hashes))]
 
         return one
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), utf8().alias("raw"))
-    return map_rows(rows, "doc_id long, text_hash long, class binary, n_shingles long, buckets array<long>", start)
+    return map_rows(rows, "doc_id long, text_hash long, class binary, n_shingles long, sketch binary", start)
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
     """``(bucket, cid, n_shingles, label, n)`` for the buckets with ``n > 1`` classes."""
-    placed = classes.select("cid", "n_shingles", "label", F.explode("buckets").alias("bucket"))
+    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
+    key = F.xxhash64("band", F.substring("sketch", F.col("band") * ROWS + 1, F.lit(ROWS))).alias("bucket")
+    # Two numbers a row: this is the largest shuffle.
+    placed = classes.select("cid", "sketch", band).select("cid", key)
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    return save(placed.join(sizes, "bucket"), "shared-buckets")
+    return save(placed.join(sizes, "bucket").join(classes.select("cid", "n_shingles", "label"), "cid"), "shared-buckets")
 
 
 def first_centres(members: DataFrame) -> DataFrame:
@@ -157,16 +174,47 @@ def star_pairs(members: DataFrame, centres: DataFrame, threshold: int) -> DataFr
     return pairs.select(F.least("cid", "c.cid").alias("a"), F.greatest("cid", "c.cid").alias("b")).distinct()
 
 
-def untested(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+def alike(pairs: DataFrame, sketches: DataFrame, threshold: int) -> DataFrame:
+    """The ``(a, b)`` whose sketches don't rule the threshold out; ``sketches`` has ``cid, sketch``."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.withColumnsRenamed({"cid": side, "sketch": f"sketch_{side}"}), side)
+    least = least_agreement(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch[f"sketch_{side}"].to_pylist()), np.uint8).reshape(-1, BINS) for side in ("a", "b"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= least))
+
+    return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+
+
+def untested(members: DataFrame, centres: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members that were no centre, of buckets where such members are in more than one component."""
     were = centres.select("bucket", F.col("c.cid").alias("cid"))
     # A bucket of two has no pair without a centre.
     left = members.where("n > 2").join(were, ["bucket", "cid"], "left_anti")
-    known = left.join(labels.select(F.col("node").alias("cid"), F.col("label").alias("found")), "cid", "left")
-    known = known.select("bucket", "cid", "n_shingles", F.coalesce("found", "label").alias("label"), "n")
-    known = save(known, "left-members")
-    spans = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return save(known.join(spans.where("lo != hi").select("bucket"), "bucket", "left_semi"), "open-buckets")
+    if labels is not None:
+        left = left.join(labels.select(F.col("node").alias("cid"), F.col("label").alias("found")), "cid", "left")
+        left = left.select("bucket", "cid", "n_shingles", F.coalesce("found", "label").alias("label"), "n")
+    left = save(left, "left-members")
+    spans = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return save(left.join(spans.where("lo != hi").select("bucket"), "bucket", "left_semi"), "open-buckets")
+
+
+def joined_labels(labels: DataFrame | None, links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``labels`` (``node, label, root``) after more links: only the components that they touch are visited."""
+    if labels is None:
+        return components(links, nodes)
+    roots = labels.select("node", "root")
+    for side in ("a", "b"):
+        root = roots.withColumnsRenamed({"node": side, "root": "to"})
+        links = links.join(root, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
+    moved = components(links.distinct(), nodes)
+    after = moved.select(F.col("node").alias("root"), F.col("label").alias("label_after"), F.col("root").alias("root_after"))
+    known = labels.join(after, "root", "left").select(
+        "node", F.coalesce("label_after", "label").alias("label"), F.coalesce("root_after", "root").alias("root")
+    )
+    return save(known.unionByName(moved.join(labels.select("node"), "node", "left_anti")), "joined-labels")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -177,13 +225,20 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) ->
 
     def start():
         shingler = Shingler(size)
-        last: dict[str, tuple[int, np.ndarray]] = {}
+        known: dict[int, np.ndarray] = {}
+        held = 0
 
         def hashes(row: dict, side: str) -> np.ndarray:
-            # Pairs of one centre follow each other.
-            if side not in last or last[side][0] != row[side]:
-                last[side] = row[side], shingler.hashes(row[f"raw_{side}"].lower().split())
-            return last[side][1]
+            nonlocal held
+            # Centres come again and again.
+            cid = row[side]
+            if cid not in known:
+                if held > REMEMBERED:
+                    known.clear()
+                    held = 0
+                known[cid] = shingler.hashes(row[f"raw_{side}"].lower().split())
+                held += len(known[cid])
+            return known[cid]
 
         def one(row: dict) -> list[tuple]:
             x, y = hashes(row, "a"), hashes(row, "b")
@@ -196,21 +251,22 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) ->
 
 
 def class_components(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> DataFrame:
-    """``(node, label)`` of the classes that are linked to others.
+    """``(node, label, root)`` of the classes that are linked to others.
 
     Turn by turn the buckets get new centres, until no bucket holds two members of
     different components that neither a star nor a component has settled.
     """
     members = bucket_members(classes)
     centres, turn = first_centres(members), 0
-    tested = found = None
+    nodes, sketches = classes.select(F.col("cid").alias("node"), "label"), classes.select("cid", "sketch")
+    tested = labels = None
     while True:
-        pairs = star_pairs(members, centres, threshold)
+        pairs = alike(star_pairs(members, centres, threshold), sketches, threshold)
         pairs = save(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "star-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = save(confirmed(pairs, _texts(docs, classes, pairs), size, threshold), "links")
-        found = links if found is None else found.unionByName(links)
-        labels = components(found, classes.select(F.col("cid").alias("node"), "label"))
+        if labels is None or not links.isEmpty():
+            labels = joined_labels(labels, links, nodes)
         members = untested(members, centres, labels)
         if members.isEmpty():
             return labels
@@ -228,23 +284,30 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
-    """``(doc_id, text_hash, class, n_shingles, component_id)``, one row per document."""
+    """``(doc_id, text_hash, class, n_shingles, component_id, component)``, one row per document.
+
+    ``component`` tells components apart whose ``component_id`` is null or the same.
+    """
     rows = save(fingerprints(docs, size), "fingerprints")
     collapsed = rows.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("buckets").alias("buckets")
+        F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("sketch").alias("sketch")
     )
-    # A null id comes last.  Class ids are unique and fixed once the table is written.
-    label = F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("id"))
-    classes = save(collapsed.withColumns({"cid": F.monotonically_increasing_id(), "label": label}), "classes")
+    # A null id comes last.  Class ids are unique and fixed once the table is written; they
+    # tell labels of equal ids apart.
+    label = F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("id"), "cid")
+    classes = save(collapsed.withColumn("cid", F.monotonically_increasing_id()).withColumn("label", label), "classes")
     labels = class_components(docs, classes, size, threshold)
-    known = classes.join(labels.select(F.col("node").alias("cid"), F.col("label").alias("found")), "cid", "left")
-    known = known.select("class", F.coalesce("found", "label")["id"].alias("component_id"))
+    found = labels.select(F.col("node").alias("cid"), F.col("label").alias("found"), "root")
+    known = classes.join(found, "cid", "left").select(
+        "class", F.coalesce("found", "label")["id"].alias("component_id"), F.coalesce("root", "cid").alias("component")
+    )
     return rows.select("doc_id", "text_hash", "class", "n_shingles").join(known, "class", "left").select(
         "doc_id",
         "text_hash",
         "class",
         "n_shingles",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "component",
     )
 
 
@@ -274,12 +337,22 @@ def _of_class(texts: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each component.
 
-    Rows that repeat the id and text of the document that stays are that document.
+    Where several texts of a component have its id (a null one, too), the one with the
+    least hash stays.  Rows that repeat the id and text of the document that stays are
+    that document.  Extra columns of any name are kept.
     """
     found = near_duplicates(docs, size, threshold)
-    gone = found.where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    gone = save(gone.distinct(), "near-duplicates")
-    same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_hash"))
+    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # Nearly always empty: components with several texts of one id.
+    several = found.where(named & F.col("class").isNotNull()).groupBy("component").agg(
+        F.min("text_hash").alias("least"), F.max("text_hash").alias("most")
+    )
+    several = several.where("least != most").select("component", "least")
+    others = found.where(named).join(several, "component").where("text_hash != least")
+    gone = found.where(~named).select("doc_id", "text_hash").unionByName(others.select("doc_id", "text_hash"))
+    gone_id, gone_hash = (free_name(docs, name) for name in ("gone_id", "gone_hash"))
+    gone = save(gone.distinct().withColumnsRenamed({"doc_id": gone_id, "text_hash": gone_hash}), "near-duplicates")
+    same = docs["doc_id"].eqNullSafe(F.col(gone_id)) & (F.xxhash64(docs["text"]) == F.col(gone_hash))
     return docs.join(gone.hint("merge"), same, "left_anti")
 
 

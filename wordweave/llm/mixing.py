@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordweave.llm.common import WORD, text_or_empty
+from wordweave.llm.common import WORD, free_name, text_or_empty, without_names
 from wordweave.shared import save
 
 MAX_PATTERNS = 100_000
@@ -250,11 +250,15 @@ def mix(docs: DataFrame, sources: Column, weights: dict[Source, int] | None = No
     """Take documents so that each source's words come to its share of all words.
 
     ``sources`` is an array of the sources a document belongs to.  ``rows`` has the
-    columns of ``docs`` and ``mix_size, mix_sources, mix_repeats, mix_taken``.
+    columns of ``docs`` and ``mix_size, mix_sources, mix_repeats, mix_taken``, which take
+    the place of columns of these names.
     """
+    given_names = without_names(docs, "mix_size", "mix_sources", "mix_repeats", "mix_taken").columns
+    # Numbered names clash with no helper column.
+    inner = {c: f"column_{i}" for i, c in enumerate(given_names)}
     members = F.when(F.size(sources) > 0, F.array_sort(F.array_distinct(sources))).otherwise(F.array(F.lit(None).cast("string")))
     hashed = docs.select(
-        "*",
+        *[docs[f"`{c}`"].alias(name) for c, name in inner.items()],
         members.alias("mix_sources"),
         F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("mix_size"),
         F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("mix_h"),
@@ -293,7 +297,7 @@ def mix(docs: DataFrame, sources: Column, weights: dict[Source, int] | None = No
     more = F.when((F.col("mix_h") < F.col("start")) | F.coalesce("filled", F.lit(False)), 1).otherwise(0)
     repeats = (F.col("repeats") + more).cast("long")
     rows = rows.select(
-        *[hashed[c] for c in docs.columns],
+        *[F.col(name).alias(c) for c, name in inner.items()],
         "mix_sources",
         "mix_size",
         repeats.alias("mix_repeats"),
@@ -304,8 +308,8 @@ def mix(docs: DataFrame, sources: Column, weights: dict[Source, int] | None = No
 
 def repeated(mixture: Mix, columns: list[str]) -> DataFrame:
     """Each row as often as the mixture takes it."""
-    times = F.expr("explode(array_repeat(0, int(mix_repeats)))").alias("mix_copy")
-    return mixture.rows.where("mix_repeats > 0").select(*columns, times).drop("mix_copy")
+    times = F.expr("explode(array_repeat(0, int(mix_repeats)))").alias(copy := free_name(mixture.rows, "mix_copy"))
+    return mixture.rows.where("mix_repeats > 0").select(*columns, times).drop(copy)
 
 
 def own_source() -> Column:

@@ -5,7 +5,8 @@ by seeded hashes.  Pass 2 takes one bucket at a time into memory, shuffles it by
 Fisher-Yates and writes it.  The law is ``key``: a jump consistent hash of the
 ``doc_id`` picks the shard, so rows only ever move into a shard that is added.
 
-Rows with a null ``doc_id`` form one key; a null text has no bytes.  The order within a
+Rows with a null ``doc_id`` form one key; a null text has no bytes.  The columns
+``shard_no``, ``bucket_no`` and ``place_no`` take the place of columns of these names.  The order within a
 shard depends on the seed, the rows and the size of the buckets alone.
 """
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 from pyspark.sql.window import Window
 
-from wordweave.llm.common import text_or_empty
+from wordweave.llm.common import free_name, text_or_empty, without_names
 from wordweave.shared import shared_folder
 
 BUCKET_BYTES = 16 << 20
@@ -69,7 +70,7 @@ def scatter(docs: DataFrame, n_shards: int = 40, bucket_bytes: int = BUCKET_BYTE
     per_shard = max(1, -(-total // (n_shards * bucket_bytes)))
     key = F.xxhash64(F.lit(seed), F.col("doc_id"))
     return docs.select(
-        "*",
+        *without_names(docs, "shard_no", "bucket_no").columns,
         shard_of(key, n_shards).alias("shard_no"),
         F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id"), F.col("text")), F.lit(per_shard)).cast("int").alias("bucket_no"),
     )
@@ -77,12 +78,14 @@ def scatter(docs: DataFrame, n_shards: int = 40, bucket_bytes: int = BUCKET_BYTE
 
 def shuffle_buckets(scattered: DataFrame, seed: int = 0) -> DataFrame:
     """Pass 2: shuffle each bucket in memory; ``place_no`` is a row's place in its bucket."""
+    scattered = without_names(scattered, "place_no")
     schema = StructType(scattered.schema.fields).add("place_no", LongType())
-    ordered = scattered.withColumn("row_hash", F.xxhash64("doc_id", "text"))
+    row_hash = free_name(scattered, "row_hash")
+    ordered = scattered.withColumn(row_hash, F.xxhash64("doc_id", "text"))
 
     def shuffle(pdf: pd.DataFrame) -> pd.DataFrame:
         # A fixed order first, so that the result doesn't depend on how rows arrived.
-        pdf = pdf.sort_values("row_hash", kind="stable").drop(columns="row_hash")
+        pdf = pdf.sort_values(row_hash, kind="stable").drop(columns=row_hash)
         rng = np.random.default_rng([seed, int(pdf["shard_no"].iloc[0]), int(pdf["bucket_no"].iloc[0])])
         pdf = pdf.iloc[fisher_yates(len(pdf), rng)]
         return pdf.assign(place_no=np.arange(len(pdf)))

@@ -238,8 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of ``docs`` but ``text``, which becomes ``tox_score``."""
-    kept = [c for c in docs.columns if c != "text"]
+    """The columns of ``docs`` but ``text``, which becomes ``tox_score`` (in the place of a column of this name)."""
+    kept = [c for c in docs.columns if c.lower() not in ("text", "tox_score")]
     rows = docs.select(*kept, text_or_empty().alias("text"))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 

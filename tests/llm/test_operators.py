@@ -306,3 +306,33 @@ def test_bucket_of_many_that_are_not_similar(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
     assert found == dict(enumerate(_linked(texts, 2, 80)))
+
+
+def test_index_equals_one_built_anew(spark):
+    """Random insertions and deletions; the document that stays is often the one that goes."""
+    rng = random.Random(2)
+    schema = "doc_id long, text string"
+    rows = [(i if i % 9 else None, " " * rng.randint(0, 3) + f"t{rng.randint(0, 12)}") for i in range(90)]
+    live = exact_dedup.digests(spark.createDataFrame(rows[:50], schema))
+    index = exact_dedup.build_index(exact_dedup.partial_groups(live), 3)
+    more = exact_dedup.digests(spark.createDataFrame(rows[50:], schema))
+    index, live = exact_dedup.update_index(index, exact_dedup.partial_groups(more), 3), live.unionByName(more)
+    out = rng.sample(range(90), 55)
+    gone = exact_dedup.digests(spark.createDataFrame([rows[i] for i in out] + [(999, "never there")], schema))
+    index, live = exact_dedup.delete_documents(index, live, gone, 3)
+    left = [r for i, r in enumerate(rows) if i not in out]
+    anew = exact_dedup.build_index(exact_dedup.partial_groups(exact_dedup.digests(spark.createDataFrame(left, schema))), 3)
+    groups = lambda df: sorted(df.where("digest is not null").drop("filter").collect(), key=str)
+    assert groups(index) == groups(anew) and live.count() == len(left)
+
+
+def test_random_strings_of_letters_and_behind_words():
+    count = secrets.encoder(secrets.VOCABULARY)
+    found = lambda text: [text[a:b] for a, _, b in secrets.random_spans(text, count)]
+    keys = ["qKzXwVbnMpLtRfGhJdSy", "abcdqwzxkvjpmnty", "h7Gq2LzX9vBn4TkW"]
+    for key in keys:
+        assert found(f"here {key} there") == [key]
+        assert found(f"https://example.org/some/long/path/of/common/words/and/more/words/{key}")[0].endswith(key)
+    for word in ("internationalization", "Donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement", "get_value_of_the_next_item"):
+        assert found(word) == []
+    assert found("d41d8cd98f00b204e9800998ecf8427e 123e4567-e89b-12d3-a456-426614174000") == []

@@ -106,6 +106,10 @@ class _Bucket:
                 del self.stored[digest]
                 self.filter.delete(digest)
 
+    def forget(self, digest: bytes) -> None:
+        if digest in self.filter and self.stored.pop(digest, None) is not None:
+            self.filter.delete(digest)
+
     def rows(self, bucket: int) -> Iterable[tuple]:
         for digest, (keep_id, keep_chars, n) in self.stored.items():
             yield bucket, digest, keep_id, keep_chars, n, None
@@ -139,7 +143,9 @@ def update_index(index: DataFrame, partial: DataFrame, n_buckets: int, remove: b
     """Insert (or delete) the groups of ``partial`` in an index of ``n_buckets`` buckets.
 
     A deletion takes ``group_size`` copies off a digest; with the last copy the digest
-    goes.  Digests the index doesn't hold are left alone.
+    goes.  Digests the index doesn't hold are left alone.  Counts alone can't tell which
+    document stays after a deletion: :func:`delete_documents` does.  Rows of ``partial``
+    with a true ``forget``, where it has this column, first drop their digest whole.
     """
 
     def change(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
@@ -152,6 +158,10 @@ def update_index(index: DataFrame, partial: DataFrame, n_buckets: int, remove: b
         }
         if len(tables):
             bucket.filter = CuckooFilter.from_bytes(bytes(tables["filter"].iloc[0]))
+        if "forget" in new:
+            for digest in new.loc[new["forget"], "digest"]:
+                bucket.forget(bytes(digest))
+            new = new[~new["forget"]]
         for digest, n, chars, doc in zip(new["digest"], new["group_size"], new["keep_chars"], new["keep_id"], strict=True):
             if remove:
                 bucket.remove(bytes(digest), int(n))
@@ -164,6 +174,21 @@ def update_index(index: DataFrame, partial: DataFrame, n_buckets: int, remove: b
     return index.groupBy("bucket").cogroup(changes).applyInPandas(change, INDEX)
 
 
+def delete_documents(index: DataFrame, live: DataFrame, gone: DataFrame, n_buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Take the documents of ``gone`` out of an index; returns the index and the documents still live.
+
+    ``live`` and ``gone`` are tables as :func:`digests` makes them.  A document goes as
+    often as ``gone`` has it; one that isn't live changes nothing.  The digests touched
+    are folded anew from the documents that are left, so the index equals one built from
+    them: the next best document stays where the one that stayed goes.
+    """
+    left = save(live.exceptAll(gone.select(live.columns)), "live-digests")
+    touched = save(gone.select("digest").distinct(), "touched-digests")
+    groups = partial_groups(left.join(touched, "digest", "left_semi")).withColumn("forget", F.lit(False))
+    drops = touched.withColumn("forget", F.lit(True))
+    return update_index(index, groups.unionByName(drops, allowMissingColumns=True), n_buckets), left
+
+
 def exact_groups(docs: DataFrame, per_bucket: int = DIGESTS_PER_BUCKET) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, digest``."""
     rows = save(digests(docs), "digests")

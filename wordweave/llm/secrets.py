@@ -1,12 +1,16 @@
 """Secret scans: known shapes, and random strings by their token efficiency.
 
 Text that people write costs few tokens a character under a byte-pair vocabulary;
-random strings cost many.  A candidate is a run of key characters with a letter and a
-digit.  Known digests (hexadecimal of a digest's length), UUIDs and identifiers
-(words and numbers joined by ``_``, ``-``, ``.`` or ``/``) are no secrets; of the rest,
-those with less than ``MAX_RATIO`` characters a token are reported as ``random``.
-
-Null texts count as empty.  Spans are in code points of the whole text, the end
+random strings cost many.  A candidate is a run of key characters.  Known digests
+(hexadecimal of a digest's length), UUIDs and identifiers (words and numbers joined by
+``_``, ``-`` or ``/``) are no secrets; of the rest, those with a letter and a digit and
+less than ``MAX_RATIO`` characters a token are reported as ``random``.  Where the whole
+run isn't, its parts between separators are tried by themselves, so that a key behind a
+path of words is found; a part of letters alone, or of one shape of a word, has to stay
+below ``MAX_LETTER_RATIO``, which words of no language in the corpus do.
+
+Null texts count as empty; rows that repeat each other, and null ids, are scanned each by
+itself; an empty table has no rows; other columns play no part.  Spans are in code points of the whole text, the end
 exclusive.  Long runs are encoded in blocks, so that a run of any length takes time in
 proportion to it.
 """
@@ -42,9 +46,11 @@ PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 MIN_RANDOM = 16
 MAX_RATIO = 2.2
+MAX_LETTER_RATIO = 1.7
 BLOCK = 256
 
 RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{MIN_RANDOM},}}={{0,2}}", re.ASCII)
+PART = re.compile(rf"[A-Za-z0-9]{{{MIN_RANDOM},}}", re.ASCII)
 UUID = re.compile(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE | re.ASCII)
 IDENTIFIER = re.compile(r"([A-Z]?[a-z]+|[A-Z]+|[0-9]+)([_/=-]+([A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}))*", re.ASCII)
 _DIGIT = re.compile(r"[0-9]", re.ASCII)
@@ -74,11 +80,13 @@ def base_spans(text: str) -> list[Span]:
 
 
 def is_known(run: str) -> bool:
-    """Whether a run is a digest, a UUID or an identifier."""
+    """Whether a run is a digest or a UUID."""
     body = run.strip("=/+_-")
-    if _HEX_ONLY.fullmatch(body) and len(body) in DIGEST_LENGTHS:
-        return True
-    return bool(UUID.fullmatch(body) or IDENTIFIER.fullmatch(body))
+    return bool(_HEX_ONLY.fullmatch(body) and len(body) in DIGEST_LENGTHS or UUID.fullmatch(body))
+
+
+def is_identifier(run: str) -> bool:
+    return bool(IDENTIFIER.fullmatch(run.strip("=/+_-")))
 
 
 def ratio(run: str, count: Callable[[str], int]) -> float:
@@ -86,13 +94,25 @@ def ratio(run: str, count: Callable[[str], int]) -> float:
     return len(run) / max(1, sum(count(run[i : i + BLOCK]) for i in range(0, len(run), BLOCK)))
 
 
+def is_mixed(run: str) -> bool:
+    """Whether a run has letters and digits in no identifier's shape."""
+    return bool(_DIGIT.search(run) and _LETTER.search(run)) and not is_identifier(run)
+
+
 def random_spans(text: str, count: Callable[[str], int], max_ratio: float = MAX_RATIO) -> list[Span]:
     """Spans of random strings, of kind ``len(KINDS)``."""
     found = []
     for m in RUN.finditer(text):
         run = m[0]
-        if _DIGIT.search(run) and _LETTER.search(run) and not is_known(run) and ratio(run, count) < max_ratio:
+        if is_known(run):
+            continue
+        if is_mixed(run) and ratio(run, count) < max_ratio:
             found.append((m.start(), len(KINDS), m.end()))
+            continue
+        for part in PART.finditer(run):
+            least = max_ratio if is_mixed(part[0]) else min(max_ratio, MAX_LETTER_RATIO)
+            if _LETTER.search(part[0]) and not is_known(part[0]) and ratio(part[0], count) < least:
+                found.append((m.start() + part.start(), len(KINDS), m.start() + part.end()))
     return found
 
 

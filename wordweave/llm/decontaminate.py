@@ -18,7 +18,7 @@ rows give repeated results; other columns play no part.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +49,11 @@ _PAIR = [*_ROW, "item_id"]
 _ALIGNED = [*_PAIR, "anchor", "rule"]
 
 
+def _merged(found: DataFrame) -> DataFrame:
+    """What was found grows with the documents, so it is joined by a shuffle, never broadcast."""
+    return found.hint("merge")
+
+
 def _row_key() -> list[Column]:
     doc_id = F.col("doc_id")
     return [
@@ -84,46 +89,56 @@ def marked_words(text: str) -> Column:
     numbers = F.regexp_replace(units, _BARE_NUMBER, f"{_SLOT}n$1")
     has_digit = F.regexp_like(clean, F.lit(r"\p{Nd}"))
     marked = F.lower(F.when(has_digit, numbers).otherwise(names))
-    words = F.split(F.translate(marked, MARKS, ""), r"\s+")
-    return F.filter(words, lambda w: w != "")
+    return F.array_remove(F.split(F.translate(marked, MARKS, ""), r"\s+"), "")
 
 
-def _template(words: Column, perhaps: Callable[[Column], Column]) -> Column:
-    """Placeholders without their values; ``perhaps`` reads the words that may be names."""
-    slot = F.lit(_SLOT)
-    return F.transform(
-        words,
-        lambda w: F.when(~F.startswith(w, slot), w).when(F.startswith(w, F.lit(f"{_SLOT}i")), perhaps(w)).otherwise(F.left(w, F.lit(2))),
-    )
+def _hashed(words: Column) -> Column:
+    """Per word the hashes of its readings (``plain``, ``named``) and of its value, and whether it is
+    a placeholder (0), a word (1) or a word that may be a name (2)."""
+    named = F.xxhash64(F.lit(f"{_SLOT}p"))
+
+    def fields(plain: Column, named: Column, value: Column, kind: int) -> Column:
+        return F.struct(plain.alias("plain"), named.alias("named"), value.alias("value"), F.lit(kind).alias("kind"))
+
+    def one(w: Column) -> Column:
+        value, typed, word = F.xxhash64(w), F.xxhash64(F.left(w, F.lit(2))), F.xxhash64(F.substring(w, 3, 1 << 30))
+        kinds = F.when(~F.startswith(w, F.lit(_SLOT)), fields(value, value, value, 1))
+        return kinds.when(F.startswith(w, F.lit(f"{_SLOT}i")), fields(word, named, value, 2)).otherwise(fields(typed, typed, value, 0))
+
+    return F.transform(words, one)
 
 
 def windows(texts: DataFrame, keys: list[str], window: int = WINDOW, lengths: list[int] | None = None) -> DataFrame:
     """``(*keys, n_windows, width, pos, window)`` for every window of every text.
 
     Windows have ``width`` words: each of ``lengths``, by default ``window`` or the whole
-    of a shorter text.
+    of a shorter text; none is wider than ``window``.
     """
     # Explode of a one-entry array: the words are made once, however often they are used.
-    words = texts.select(*keys, F.explode(F.array(marked_words("text"))).alias("words")).where(F.size("words") > 0)
-    widths = F.array(F.least(F.size("words"), F.lit(window))) if lengths is None else F.array(*map(F.lit, lengths))
-    readings = F.struct(
-        _template("words", lambda w: F.substring(w, 3, 1 << 30)).alias("plain"), _template("words", lambda w: F.lit(f"{_SLOT}p")).alias("named")
-    )
-    templates = words.select(*keys, "words", F.explode(F.array(readings)).alias("t"), F.size("words").alias("size"))
-    templates = templates.select(*keys, "words", "t.plain", "t.named", "size", F.explode(widths).alias("width")).where("size >= width")
-    literal = f"w -> not startswith(w, '{_SLOT}')"
-    part = "slice({}, i + 1, width)"
-    plain, named, valued = (part.format(c) for c in ("plain", "named", "words"))
-    # A short window of placeholders alone stands for its values, unless it is the whole text.
-    short = f"if(width < {window} and not exists({plain}, {literal}), xxhash64({valued}), xxhash64({plain}))"
-    places = "transform(sequence(0, size - width), i -> struct(i AS pos, {} AS window))"
-    other = f"if({named} != {plain} and exists({named}, {literal}), xxhash64({named}), null)"
-    hashes = F.expr(
-        f"""concat({places.format(short)},
-            if(size = width and width < {window}, array(struct(0 AS pos, xxhash64(plain) AS window)), array()),
-            if(named != plain, filter({places.format(other)}, x -> x.window is not null), array()))"""
-    )
-    return templates.select(*keys, (F.col("size") - F.col("width") + 1).alias("n_windows"), "width", F.inline(hashes))
+    words = texts.select(*keys, F.explode(F.array(_hashed(marked_words("text")))).alias("words")).where(F.size("words") > 0)
+    size = F.size("words")
+    # Each word beside those that follow it, so hashes of windows are compiled expressions.
+    names = [f"w{i}" for i in range(window)]
+    beside = F.arrays_zip(*[F.slice("words", i + 1, size).alias(name) for i, name in enumerate(names)])
+    words = words.select(*keys, size.alias("size"), F.explode(F.array(beside)).alias("beside"))
+    placed = words.select(*keys, "size", F.posexplode("beside").alias("pos", "at"))
+    found = []
+    for width in lengths or range(1, window + 1):
+        plain, named, value = (F.xxhash64(*[F.col(f"at.{n}.{field}") for n in names[:width]]) for field in ("plain", "named", "value"))
+        kinds = reduce(Column.bitwiseOR, [F.col(f"at.{n}.kind") for n in names[:width]])
+        if width == window or lengths:
+            fits = F.col("pos") + width <= F.col("size")
+        else:
+            fits = (F.col("pos") == 0) & (F.col("size") == width)
+        # The reading as names, where it differs and a word is left.
+        second = F.when(kinds == 3, named)
+        if width < window:
+            # A short window of placeholders alone stands for its values; if it is the whole text, also for its template.
+            second = F.when((kinds == 0) & (F.col("size") == width), plain).otherwise(second)
+            plain = F.when(kinds == 0, value).otherwise(plain)
+        found += [F.struct(F.lit(width).alias("width"), F.when(fits, hashed).alias("window")) for hashed in (plain, second)]
+    rows = placed.select(*keys, "size", "pos", F.explode(F.array(*found)).alias("found")).where("found.window is not null")
+    return rows.select(*keys, (F.col("size") - F.col("found.width") + 1).alias("n_windows"), "found.width", "pos", "found.window")
 
 
 def _values(texts: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -148,13 +163,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     # Rows that repeat each other are read once.
     wanted = rows.join(covered.select(*_ROW).distinct(), _ROW, "left_semi").groupBy(*_ROW).agg(F.any_value("text").alias("text"))
     wanted = save(wanted, "covered-documents")
-    places = _alignments(_hits(wanted, lookup, window, lengths).join(covered.select(*_PAIR), _PAIR, "left_semi"))
+    places = _alignments(_hits(wanted, lookup, window, lengths).join(_merged(covered.select(*_PAIR)), _PAIR, "left_semi"))
     # Of a pair's alignments the one with the largest part of consistent slots.
     part = F.col("n_consistent") / F.col("n_slots")
     best = _slots(places, covered, wanted, items).groupBy(*_PAIR).agg(
         F.max(F.struct(part, F.col("n_slots"), F.col("n_consistent"))).alias("best")
     )
-    checked = covered.join(best, _PAIR, "left").select(
+    checked = covered.join(_merged(best), _PAIR, "left").select(
         F.when(~F.col("no_id"), F.col("doc_no")).alias("doc_id"),
         "text_hash",
         "item_id",
@@ -189,10 +204,10 @@ def _alignments(hits: DataFrame) -> DataFrame:
     anchors = runs.select(*_PAIR, F.col("off").alias("anchor")).distinct()
     covers = F.explode(F.expr("sequence(first, int(first + length - 1))")).alias("item_pos")
     longest = runs.select(*_PAIR, "off", "length", covers).groupBy(*_PAIR, "item_pos").agg(F.max(F.struct("length", -F.col("off"), "off")).alias("run"))
-    anywhere = longest.join(anchors, _PAIR).select(*_PAIR, "anchor", "item_pos", F.lit(0).alias("near"), "run.off", "run.length")
+    anywhere = longest.join(_merged(anchors), _PAIR).select(*_PAIR, "anchor", "item_pos", F.lit(0).alias("near"), "run.off", "run.length")
     band = F.floor(F.col("off") / BAND)
     around = F.explode(F.array(*[F.floor(F.col("anchor") / BAND) + i for i in (-1, 0, 1)])).alias("band")
-    near = runs.withColumn("band", band).join(anchors.select("*", around), [*_PAIR, "band"])
+    near = runs.withColumn("band", band).join(_merged(anchors.select("*", around)), [*_PAIR, "band"])
     near = near.where(F.abs(F.col("off") - F.col("anchor")) <= BAND).select(*_PAIR, "anchor", covers, F.lit(1).alias("near"), "off", "length")
     closeness = -F.abs(F.col("off") - F.col("anchor"))
     first, second = (F.when(F.col("rule") == 0, a).otherwise(b) for a, b in ((F.col("length"), closeness), (closeness, F.col("length"))))
@@ -205,14 +220,14 @@ def _alignments(hits: DataFrame) -> DataFrame:
 def _slots(places: DataFrame, covered: DataFrame, wanted: DataFrame, items: DataFrame) -> DataFrame:
     """Per alignment the number of placeholders in matched windows and of those whose values correspond."""
     inside = F.explode(F.expr("sequence(0, width - 1)")).alias("step")
-    aligned = places.join(covered.select(*_PAIR, "width"), _PAIR).select(*_ALIGNED, "item_pos", "pos", inside)
+    aligned = places.join(_merged(covered.select(*_PAIR, "width")), _PAIR).select(*_ALIGNED, "item_pos", "pos", inside)
     item_at, doc_at = ((F.col(at) + F.col("step")).alias(name) for at, name in (("item_pos", "item_at"), ("pos", "doc_at")))
     item_values = _values(items.join(covered.select("item_id").distinct(), "item_id", "left_semi"), ["item_id"], "item")
     aligned = aligned.select(*_ALIGNED, item_at, doc_at).distinct().join(item_values, ["item_id", "item_at"])
     doc_values = _values(wanted, _ROW, "doc")
     # Equal words that may be names are no sign of a correspondence.
     same_word = F.col("item_perhaps") & F.col("doc_perhaps") & (F.col("item") == F.col("doc"))
-    matched = aligned.join(doc_values, [*_ROW, "doc_at"]).where(~same_word).select(*_ALIGNED, "item", "doc")
+    matched = aligned.join(_merged(doc_values), [*_ROW, "doc_at"]).where(~same_word).select(*_ALIGNED, "item", "doc")
     counts = matched.groupBy(*_ALIGNED, "item", "doc").agg(F.count("*").alias("n"))
     # A value of the item corresponds to the document's value it meets most often.
     best = counts.groupBy(*_ALIGNED, "item").agg(F.sum("n").alias("n"), F.max(F.struct("n", "doc")).alias("top"))

@@ -336,3 +336,23 @@ def test_random_strings_of_letters_and_behind_words():
     for word in ("internationalization", "Donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement", "get_value_of_the_next_item"):
         assert found(word) == []
     assert found("d41d8cd98f00b204e9800998ecf8427e 123e4567-e89b-12d3-a456-426614174000") == []
+
+
+def test_misspelled_terms_alone(spark):
+    learn = [(i, ("plain words of a day " * 8) + ("you grumbolt you snarvik" if i % 2 else "a garden and a river"), i % 2) for i in range(400)]
+    wrong = [(i, ("plain words of a day " * 8) + "you grumbollt you snervik", 1) for i in range(401, 460, 2)]
+    rows = spark.createDataFrame(learn + wrong, "doc_id long, text string, toxic int")
+    model = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    long = "plain words of a day " * 60
+    new = spark.createDataFrame(
+        [(1, long + "you grimbolt you snarvyk"), (2, long + "a garden and a river"), (3, None), (3, None), (4, "")], "doc_id long, text string"
+    )
+    found = {r["doc_id"]: r["tox_score"] for r in toxicity.score(new, model).collect()}
+    assert found[1] > 0.5
+    assert max(found[2], found[3], found[4]) < 0.5
+    assert found[3] == found[4]
+    assert toxicity.score(new.limit(0), model).count() == 0
+    texts = ("he wrote \"grimbolt\" once", "you grimbolt of mine")
+    one, two = (dict(zip(toxicity.FEATURES, toxicity.features(t, model.automaton()), strict=True)) for t in texts)
+    assert (one["any"], one["exact"], one["quoted"], one["addressed"]) == (1, 0, 1, 0)
+    assert (two["any"], two["exact"], two["quoted"], two["addressed"]) == (1, 0, 0, 1)

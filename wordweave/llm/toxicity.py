@@ -3,12 +3,16 @@
 The lexicon holds stems: beginnings of words that mark toxic documents.  All stems sit
 in one trie.  A Levenshtein automaton, run on the trie itself, finds the words of a text
 that begin with a stem, misspelled by at most one edit (two from ``LONG`` characters
-on); its states are made when a word first needs them.  What stands around a hit (quote
-marks on both sides, an address to the reader, further hits) separates quotation from
-abuse.  A logistic model over these counts gives the score.
-
-Lexicon and model are fitted on at most about ``MAX_TRAIN`` labelled rows.  Null and
-empty texts have no hits.  Without a toxic label to learn from every score is 0.
+on); its states are made when a word first needs them.  A word that clean training
+documents use is no misspelling.  What stands around a hit (quote marks on both sides, an
+address to the reader, further hits) separates quotation from abuse, for misspelled hits
+too, which weigh less by their edits.  A logistic model over these counts gives the score.
+
+Lexicon, known words and model are fitted on at most about ``MAX_TRAIN`` labelled rows; the
+lexicon has at most ``MAX_STEMS`` stems, those with the largest support (ties: the least).
+Null and empty texts have no hits.  Long texts are read whole.  Rows that repeat each other
+get the same score each; of several labels of a document the largest counts.  An empty
+table gives an empty result.  Other columns play no part, whatever their names.  Without a toxic label to learn from every score is 0.
 Labels, ``lang``, ``source`` and ``doc_id`` are no inputs of a score.
 """
 
@@ -29,10 +33,11 @@ MAX_TRAIN = 20_000
 STEM = (4, 10)
 MIN_SUPPORT = 5
 MIN_PURITY = 0.97
-MAX_STEMS = 1000
+MAX_STEMS = 5000
+MIN_KNOWN = 2
 LONG = 9
 WINDOW = 5
-FEATURES = ("any", "exact", "fuzzy", "share", "quoted", "addressed", "crowded")
+FEATURES = ("any", "exact", "weight", "share", "quoted", "addressed", "crowded")
 
 # Marks and words of the context windows, in the languages of the corpus.
 QUOTES = "\"'“”„‚‘’«»‹›"
@@ -43,7 +48,8 @@ EDGES = "\"'“”„‚‘’«»‹›.,;:!?()[]{}<>#%&*$|-–—_…/\\~+="
 class Automaton:
     """Levenshtein automata of all stems, intersected with the trie of the stems."""
 
-    def __init__(self, stems: list[str]):
+    def __init__(self, stems: list[str], known_words: list[str] | tuple = ()):
+        self.known_words = frozenset(known_words)
         self.children: list[dict[str, int]] = [{}]
         self.final: list[int] = [0]
         self.allowed: list[int] = [0]
@@ -116,7 +122,9 @@ class Automaton:
         if token not in self.known:
             if len(self.known) > 500_000:
                 self.known.clear()
-            self.known[token] = self.edits(token.strip(EDGES))
+            word = token.strip(EDGES)
+            edits = self.edits(word)
+            self.known[token] = None if edits and word in self.known_words else edits
         return self.known[token]
 
 
@@ -125,21 +133,28 @@ def features(text: str, automaton: Automaton) -> list[float]:
     tokens = text.lower().split()
     find = automaton.token
     hits = [(i, e) for i, t in enumerate(tokens) if (e := find(t)) is not None]
-    exact = [i for i, e in hits if e == 0]
-    quoted = addressed = crowded = 0
-    for place, i in enumerate(exact):
+    exact = sum(e == 0 for _, e in hits)
+    quoted = addressed = crowded = weight = 0.0
+    for place, (i, e) in enumerate(hits):
         before, after = tokens[max(0, i - WINDOW) : i + 1], tokens[i : i + WINDOW + 1]
-        quoted += any(q in t[:1] for t in before for q in QUOTES) and any(q in t.rstrip(".,;:!?")[-1:] for t in after for q in QUOTES)
-        addressed += any(t.strip(EDGES) in ADDRESS for t in before + after)
-        crowded += place > 0 and i - exact[place - 1] <= WINDOW
+        one = 1 / (1 + e)
+        weight += one
+        if any(q in t[:1] for t in before for q in QUOTES) and any(q in t.rstrip(".,;:!?")[-1:] for t in after for q in QUOTES):
+            quoted += one
+        if any(t.strip(EDGES) in ADDRESS for t in before + after):
+            addressed += one
+        if place > 0 and i - hits[place - 1][0] <= WINDOW:
+            crowded += one
+    whole = weight or 1.0
+    # ``any`` and ``weight`` don't shrink with the length of the text.
     return [
+        float(bool(hits)),
         float(bool(exact)),
-        math.log1p(len(exact)),
-        min(1.0, 10.0 * (len(hits) - len(exact)) / max(1, len(tokens))),
-        min(1.0, 10.0 * len(exact) / max(1, len(tokens))),
-        quoted / max(1, len(exact)),
-        addressed / max(1, len(exact)),
-        crowded / max(1, len(exact)),
+        math.log1p(weight),
+        min(1.0, 10.0 * weight / max(1, len(tokens))),
+        quoted / whole,
+        addressed / whole,
+        crowded / whole,
     ]
 
 
@@ -178,13 +193,16 @@ def learn_stems(rows: DataFrame) -> list[str]:
     pure = counts.where((F.col("toxic") >= MIN_SUPPORT) & (F.col("toxic") >= MIN_PURITY * (F.col("toxic") + scaled)))
     found = pure.orderBy(F.desc("toxic"), "stem").limit(MAX_STEMS).collect()
     toxic = {r["stem"]: r["toxic"] for r in found}
+    longer_by_one: dict[str, list[str]] = {}
+    for stem in toxic:
+        longer_by_one.setdefault(stem[:-1], []).append(stem)
     kept: set[str] = set()
     for stem in sorted(toxic, key=lambda s: (len(s), s)):
         if any(stem[:k] in kept for k in range(STEM[0], len(stem))):
             continue
         longer = stem
         while True:  # the longest stem with nearly the same support
-            more = [s for s in toxic if len(s) == len(longer) + 1 and s.startswith(longer) and toxic[s] >= 0.95 * toxic[stem]]
+            more = [s for s in longer_by_one.get(longer, []) if toxic[s] >= 0.95 * toxic[stem]]
             if not more:
                 break
             longer = more[0]
@@ -193,6 +211,23 @@ def learn_stems(rows: DataFrame) -> list[str]:
     return sorted(kept)
 
 
+def learn_known_words(rows: DataFrame, stems: list[str]) -> list[str]:
+    """Words near a stem, but without it, that are in ``MIN_KNOWN`` clean documents and not mostly in toxic ones."""
+
+    def start():
+        automaton = Automaton(stems)
+
+        def one(row: dict) -> list[tuple]:
+            words = {t.strip(EDGES) for t in set(row["text"].lower().split()) if automaton.token(t)}
+            return [(word, row["label"]) for word in words]
+
+        return one
+
+    near = map_rows(rows, "word string, label int", start).groupBy("word")
+    counts = near.agg(F.sum(F.col("label")).alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
+    return [r["word"] for r in counts.where((F.col("clean") >= MIN_KNOWN) & (F.col("clean") >= F.col("toxic"))).collect()]
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
     """Weights of a logistic regression by Newton's method, the bias last."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -211,6 +246,10 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int =
 class Model:
     stems: list[str]
     weights: list[float]
+    known_words: list[str] | tuple = ()
+
+    def automaton(self) -> Automaton:
+        return Automaton(self.stems, self.known_words)
 
     def score(self, x: list[float]) -> float:
         if not self.stems:
@@ -227,14 +266,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Model:
     stems = learn_stems(rows)
     if not stems:
         return Model([], [])
-    columns = ", ".join(f"{name} double" for name in FEATURES)
+    known_words = learn_known_words(rows, stems)
+    columns = ", ".join(f"`{name}` double" for name in FEATURES)
 
     def start():
-        automaton = Automaton(stems)
+        automaton = Automaton(stems, known_words)
         return lambda r: [(r["label"], *features(r["text"], automaton))]
 
     table = np.array(map_rows(rows, f"label int, {columns}", start).collect(), float)
-    return Model(stems, fit_logistic(table[:, 1:], table[:, 0]).tolist())
+    return Model(stems, fit_logistic(table[:, 1:], table[:, 0]).tolist(), known_words)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -244,7 +284,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
     def start():
-        automaton = Automaton(model.stems)
+        automaton = model.automaton()
         return lambda r: [(*[r[c] for c in kept], model.score(features(r["text"], automaton)))]
 
     return map_rows(rows, ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), "tox_score double"]), start)
@@ -255,7 +295,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> Data
     at = docs.columns.index("text")
 
     def start():
-        automaton = Automaton(model.stems)
+        automaton = model.automaton()
 
         def one(row: dict) -> list[tuple]:
             values = tuple(row.values())

@@ -61,3 +61,11 @@ def test_no_ordered_limit_in_a_plan(spark, name):
 def test_pair_counts(spark, threshold, n_pairs):
     docs = spark.read.parquet(str(SF / "documents.parquet")).select("doc_id", "text")
     assert jobs.similar_lines(docs, threshold, max_count=400).count() == n_pairs
+
+
+def test_naive_similarity_compares_all_lines(spark, monkeypatch):
+    monkeypatch.setattr(registry, "FIRST_LINES", 3)
+    found = registry.naive_similarity(spark, str(SF))
+    expected = registry.similar_groups_with_texts(spark, str(SF))
+    assert found.columns == expected.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))

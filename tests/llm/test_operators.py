@@ -308,6 +308,43 @@ def test_bucket_of_many_that_are_not_similar(spark):
     assert found == dict(enumerate(_linked(texts, 2, 80)))
 
 
+def test_copies_edited_in_places_of_their_own(spark, monkeypatch):
+    """500 copies with up to 14 edits: many are near the threshold, few pairs need a comparison."""
+    rng = random.Random(4)
+    body, texts = [f"b{i}" for i in range(150)], []
+    for i in range(500):
+        words = list(body)
+        for at in rng.sample(range(150), rng.choice([1, 3, 5, 7, 8, 9, 10, 12, 14])):
+            words[at] = f"e{rng.randint(0, 4000)}"
+        texts.append(" ".join(words))
+    compared, confirmed = [], minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda pairs, *rest: compared.append(pairs.count()) or confirmed(pairs, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
+    assert found == dict(enumerate(_linked(texts, 2, 80)))
+    # Stars come first.
+    assert sum(compared[1:]) < 2 * len(texts)
+
+
+@pytest.mark.parametrize("threshold", [80, 60])
+def test_linked_sets_meet_in_their_rarest_items(spark, threshold):
+    rng = random.Random(threshold)
+    centre, sets = set(range(40)), []
+    for i in range(160):
+        gone = rng.sample(range(40), rng.choice([0, 2, 5, 8, 12, 20]))
+        sets.append(centre - set(gone) | {rng.randint(100, 130) for _ in range(rng.choice([0, 2, 5, 9, 16]))})
+    rows = [(0, i, len(s - centre), len(centre - s), (100 - threshold) * 40, 1, sorted(s ^ centre)) for i, s in enumerate(sets)]
+    rows += [(1, i, len(s), 0, 0, -(-threshold * len(s) // 100), sorted(s)) for i, s in enumerate(sets)]
+    labels = spark.createDataFrame([(i, i) for i in range(160)], "cid long, label long")
+    pairs = lambda centre: {tuple(r) for r in minhash.meeting_pairs(table.where(f"centre = {centre}"), labels, threshold).collect()}
+    table = spark.createDataFrame(rows, minhash.ITEMS)
+    alike = lambda x, y: 100 * len(x & y) >= threshold * len(x | y)
+    linked = {(a, b) for b in range(160) for a in range(b) if alike(sets[a], sets[b])}
+    by_centre = {(a, b) for a, b in linked if alike(sets[a], centre) and alike(sets[b], centre)}
+    assert linked - by_centre and linked - by_centre <= pairs(0)
+    assert linked <= pairs(1)
+
+
 def test_index_equals_one_built_anew(spark):
     """Random insertions and deletions; the document that stays is often the one that goes."""
     rng = random.Random(2)

@@ -326,6 +326,21 @@ def test_copies_edited_in_places_of_their_own(spark, monkeypatch):
     assert sum(compared[1:]) < 2 * len(texts)
 
 
+def test_documents_gathered_to_a_batch_keep_their_features():
+    texts = [b"", b"a", b"b c d", b"", b"a b c d e"]
+    words = [w for t in texts for w in language_model.words_of(t)]
+    vocab = language_model.Vocabulary([(w, 9) for w in sorted(set(words) - {b"d"})], 99, 6)
+    together = language_model._Gathered(vocab)
+    assert not any([together.add(language_model.words_of(t)) for t in texts])
+    tokens, numbers, rows, starts = together.take()
+    assert tokens == words and starts.tolist() == [0, 1, 3, 7, 8]
+    for text, at in zip(texts, starts.tolist(), strict=True):
+        alone = language_model._Gathered(vocab)
+        alone.add(language_model.words_of(text))
+        _, own_numbers, own_rows, _ = alone.take()
+        assert (rows[at : at + len(own_rows)] == own_rows).all() and (numbers[at : at + len(own_rows)] == own_numbers).all()
+
+
 @pytest.mark.parametrize("threshold", [80, 60])
 def test_linked_sets_meet_in_their_rarest_items(spark, threshold):
     rng = random.Random(threshold)

@@ -85,3 +85,13 @@ def test_documents_partitioned_by_id_are_not_shuffled_again(documents):
     assert len(exchanges(frequencies)) == 1
     assert "hashpartitioning(doc_id" in exchanges(frequencies)[0]
     assert len(exchanges(idx.term_frequencies(tokens(docs, "delim")))) == 1
+
+
+def test_counts_and_blocks_share_a_shuffle(documents, the):
+    docs = documents("the a b a", "b c", "a the", "c a c b", first_id=-2)
+    words = tokens(docs, "delim")
+    found = idx.blocked_index(idx.inverted_index(words, the, 2), 2)
+    expected = idx.blocked_index(idx.inverted_index(words, the), 2)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    plan = idx.blocked_index(idx.inverted_index(words, the, 2), 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -18,14 +18,26 @@ def term_frequencies(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("tok", "doc_id").agg(F.count("*").alias("tf"))
 
 
-def inverted_index(tokens: DataFrame, stop_list: DataFrame) -> DataFrame:
+def term_frequencies_by_block(tokens: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """:func:`term_frequencies` with the ``block_no`` of :func:`blocked_index`, dealt by term and block.
+
+    The words of a document repeat too little for a count before the shuffle, which would
+    hold every term of every document of a task.  Counts and lists share the one shuffle.
+    """
+    blocked = tokens.select("tok", "doc_id", F.expr(_block_no(block_docs)).alias("block_no"))
+    return blocked.repartition("tok", "block_no").groupBy("tok", "block_no", "doc_id").agg(F.count("*").alias("tf"))
+
+
+def inverted_index(tokens: DataFrame, stop_list: DataFrame, block_docs: int | None = None) -> DataFrame:
     """Term frequencies without the terms of a ``(tok, n)`` stop list.
 
     The list's hottest words are dropped first and its tail, if there is any, after the
     aggregation, where a word is one row per document and not one row per occurrence.
+    With ``block_docs`` they come by block, for :func:`blocked_index`.
     """
     hot, rest = split_words(stop_list)
-    frequencies = term_frequencies(tokens.join(F.broadcast(hot), "tok", "left_anti"))
+    kept = tokens.join(F.broadcast(hot), "tok", "left_anti")
+    frequencies = term_frequencies_by_block(kept, block_docs) if block_docs else term_frequencies(kept)
     return frequencies if rest is None else frequencies.join(rest, "tok", "left_anti")
 
 
@@ -50,9 +62,11 @@ def blocked_index(index: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     A row holds at most ``block_docs`` postings, also of a term that is in every
     document, so the stop list may come from anywhere.  ``gaps`` are the distances from one
     document to the next, from the block's start on: small numbers, which Parquet packs
-    into few bits.  Ids have to be integers; the denser, the longer the lists.
+    into few bits.  Ids have to be integers; the denser, the longer the lists.  An index
+    that has a ``block_no``, by the same ``block_docs``, is not shuffled again.
     """
-    lists = index.groupBy("tok", F.expr(_block_no(block_docs)).alias("block_no")).agg(
+    block_no = F.col("block_no") if "block_no" in index.columns else F.expr(_block_no(block_docs)).alias("block_no")
+    lists = index.groupBy("tok", block_no).agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("list")
     )
     start = F.col("block_no") * block_docs

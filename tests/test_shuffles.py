@@ -1,11 +1,12 @@
 """Steps that move rows once."""
 
 from wordweave.functions.threshold import Threshold
+from wordweave.operators import inverted_index as idx
 from wordweave.operators import line_sets as ls
 from wordweave.operators import similarity as sim
 from wordweave.operators.terms import word_count
 from wordweave.operators.tokens import keyed_lines, line_words, tokens
-from wordweave.plans import similarity_jobs
+from wordweave.plans import index_jobs, similarity_jobs
 from wordweave.shared import plain_scan, save_bucketed
 
 
@@ -47,3 +48,12 @@ def test_a_bucketed_table_is_scanned_without_buckets(spark):
     scan = plain_scan(bucketed)
     assert "Bucketed: true" not in plan(scan)
     assert sorted(scan.collect()) == sorted(bucketed.collect())
+
+
+def test_an_index_by_term_moves_once(spark):
+    docs = corpus(spark)
+    index = index_jobs.inverted_index(docs, 50)
+    assert plan(idx.rendered_index(index)).count("Exchange hashpartitioning(tok") == 1
+    assert plan(idx.rendered_index(index)).count("Exchange hashpartitioning") == 1
+    expected = {(t, d): n for (t, d, n) in idx.term_frequencies(tokens(docs, "delim")).collect() if t not in ("all", "x", "y", "z")}
+    assert {(r.tok, r.doc_id): r.tf for r in index.collect()} == expected

@@ -28,16 +28,30 @@ def term_frequencies_by_block(tokens: DataFrame, block_docs: int = BLOCK_DOCS) -
     return blocked.repartition("tok", "block_no").groupBy("tok", "block_no", "doc_id").agg(F.count("*").alias("tf"))
 
 
-def inverted_index(tokens: DataFrame, stop_list: DataFrame, block_docs: int | None = None) -> DataFrame:
+def term_frequencies_by_term(tokens: DataFrame) -> DataFrame:
+    """:func:`term_frequencies` dealt by term, so that posting lists need no further shuffle.
+
+    For tokens without stop words: all of a term pass one task.
+    """
+    return tokens.repartition("tok").groupBy("tok", "doc_id").agg(F.count("*").alias("tf"))
+
+
+def inverted_index(
+    tokens: DataFrame, stop_list: DataFrame, block_docs: int | None = None, by_term: bool = False
+) -> DataFrame:
     """Term frequencies without the terms of a ``(tok, n)`` stop list.
 
     The list's hottest words are dropped first and its tail, if there is any, after the
     aggregation, where a word is one row per document and not one row per occurrence.
-    With ``block_docs`` they come by block, for :func:`blocked_index`.
+    With ``block_docs`` they come by block, for :func:`blocked_index`, and with ``by_term``
+    dealt by term, which asks for a stop list that bounds the occurrences of a term.
     """
     hot, rest = split_words(stop_list)
     kept = tokens.join(F.broadcast(hot), "tok", "left_anti")
-    frequencies = term_frequencies_by_block(kept, block_docs) if block_docs else term_frequencies(kept)
+    if block_docs:
+        frequencies = term_frequencies_by_block(kept, block_docs)
+    else:
+        frequencies = term_frequencies_by_term(kept) if by_term else term_frequencies(kept)
     return frequencies if rest is None else frequencies.join(rest, "tok", "left_anti")
 
 

@@ -8,6 +8,9 @@ from wordweave.operators.terms import word_count
 from wordweave.operators.tokens import keyed_lines, line_words, tokens
 from wordweave.plans import index_jobs, similarity_jobs
 from wordweave.shared import plain_scan, save_bucketed
+from wordweave.sinks import corpus as corpus_sink
+from wordweave.sinks import write_packed_documents
+from wordweave.sources import packed_documents
 
 
 def plan(df):
@@ -57,3 +60,14 @@ def test_an_index_by_term_moves_once(spark):
     assert plan(idx.rendered_index(index)).count("Exchange hashpartitioning") == 1
     expected = {(t, d): n for (t, d, n) in idx.term_frequencies(tokens(docs, "delim")).collect() if t not in ("all", "x", "y", "z")}
     assert {(r.tok, r.doc_id): r.tf for r in index.collect()} == expected
+
+
+def test_whole_texts_are_packed(spark, tmp_path, monkeypatch):
+    plans = []
+    original = corpus_sink.lines
+    monkeypatch.setattr(corpus_sink, "lines", lambda rows, *further: plans.append(plan(rows)) or original(rows, *further))
+    docs = spark.createDataFrame([(1, "a\nb"), (1, "c"), (2, None), (3, ""), (None, "x"), (4, "\n\n")], "doc_id long, text string")
+    write_packed_documents(docs, str(tmp_path / "packed"), 3)
+    assert len(plans) == 1 and "Exchange" in plans[0]
+    read = sorted((r.doc_id, r.line) for r in packed_documents(spark, str(tmp_path / "packed")).collect())
+    assert read == sorted((r.doc_id, r.line) for r in original(docs.where("doc_id is not null")).collect())

@@ -29,14 +29,15 @@ def write_packed_documents(documents: DataFrame, path: str, file_chars: int = FI
     first line there and its number of lines.  A document's lines stand in order and together;
     rows of one id are one document.  Documents without text have no place.
     """
-    numbered = lines(documents).where(F.col("doc_id").isNotNull())
     total = documents.agg(F.sum(F.length("text"))).first()[0] or 0
     n_files = max(1, -(-total // file_chars))
-    placed = numbered.withColumn("file_no", F.pmod(F.xxhash64("doc_id"), F.lit(n_files)))
-    # Only complete files are in order, so a file is one task's.
-    in_order = placed.repartition(n_files, "file_no").sortWithinPartitions("file_no", "doc_id", "line_no")
+    file_no = F.pmod(F.xxhash64("doc_id"), F.lit(n_files)).alias("file_no")
+    # Only complete files are in order, so a file is one task's.  Whole texts move, not lines with a key each.
+    texts = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text", file_no).repartition(n_files, "file_no")
+    in_order = lines(texts, "file_no").sortWithinPartitions("file_no", "doc_id", "line_no")
     in_order.select("file_no", F.col("line").alias("value")).write.mode("overwrite").partitionBy("file_no").text(f"{path}/lines")
-    sizes = placed.groupBy("file_no", "doc_id").agg(F.count("*").alias("n_lines"))
+    counted = documents.select("doc_id", file_no, F.size(text_lines("text")).cast("bigint").alias("n_lines"))
+    sizes = counted.where("doc_id is not null and n_lines > 0").groupBy("file_no", "doc_id").agg(F.sum("n_lines").alias("n_lines"))
     earlier = Window.partitionBy("file_no").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("n_lines").over(earlier), F.lit(0))
     sizes.withColumn("first_line", first).write.mode("overwrite").parquet(f"{path}/places")

@@ -1,9 +1,12 @@
 """Hot words and hot texts do not end up in one task."""
 
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from wordweave.llm import repeats
 from wordweave.operators import inverted_index as idx
 from wordweave.operators import line_sets as ls
 from wordweave.operators import similarity as sim
@@ -63,3 +66,26 @@ def test_a_term_in_every_document_is_many_blocks(spark, small_skew):
     # Blocks of one term are dealt to tasks on their own.
     plan = blocked._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(tok#\d+, \w+#\d+L?, \d+\)", plan)
+
+
+def test_copies_of_a_block_are_not_dealt_to_one_task(spark, small_skew, monkeypatch):
+    monkeypatch.setattr(repeats, "MAX_BROADCAST_KEYS", 10)
+    # Spark splits no skewed join here.
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1g")
+    docs = spark.range(4000).selectExpr("id as doc_id", "repeat(if(id % 2 = 0, 'passage ', concat('w', 10000 + id, '  ')), 5) as text").repartition(8)
+    spans = repeats.repeated_spans(docs, 40)
+    tasks = [r["count"] for r in spans.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 2000 and max(tasks) < 1000
+
+
+def test_frequent_and_other_blocks_equal_brute_force(spark, small_skew, monkeypatch):
+    rng = random.Random(5)
+    passage = "".join(rng.choices("abcdé ", k=90))
+    texts = ["".join(rng.choices("abcdefé ", k=rng.randint(0, 90))) + passage[rng.randint(0, 20) :] for _ in range(60)]
+    texts += [passage + passage] * 30 + ["".join(rng.choices("abc", k=60))] * 2
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    expected = repeats.brute_force([t.encode() for t in texts], 40)
+    for keys, hot in ((1, 2000), (20, 2000), (20, 3)):
+        monkeypatch.setattr(repeats, "MAX_BROADCAST_KEYS", keys)
+        found = {r["doc_id"]: [(s["from"], s["to"]) for s in r["removed"]] for r in repeats.without_repeats(rows, 40, hot).collect()}
+        assert found == dict(enumerate(expected))
